@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillon.functions.text import normalize_title
 from quillon.llm.components import page_groups
 from quillon.llm.heavy import heavy_hitters
+from quillon.llm.markup import markup_units
 from quillon.llm.sentence_units import sentence_units
 from quillon.llm.visual_form import look_alikes
 from quillon.storage import Scratch
@@ -38,6 +39,10 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return heavy_hitters(Scratch(spark, "links").put(titles, "titles"), "title", 0.005).select(F.col("value").alias("title"))
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return markup_units(_table(spark, sf, "page"), "id", "article")
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     wanted = _table(spark, sf, "annotated").select("id").distinct()
     docs = _table(spark, sf, "page").select("id", "article", "lang").where("article is not null").join(wanted, "id", "left_semi").dropDuplicates(["id"])
@@ -46,7 +51,7 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p7_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p7_found)}
 
 
 _NORM = "upper(left(trim(replace({0}, '_', ' '), chr(32)||chr(9)||chr(10)||chr(13)||chr(160)||chr(12288)), 1)) || substr(trim(replace({0}, '_', ' '), chr(32)||chr(9)||chr(10)||chr(13)||chr(160)||chr(12288)), 2)"
