@@ -47,19 +47,24 @@ _SUBSTITUTES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s",
 _RUN_ON = regex.compile(r"(?<=[\p{L}\p{N}!]) (?=(\p{Lu}[\p{Ll}’']+|\p{Lu}) )")
 
 
+_SPELLED_ASCII = re.compile(r"(?<![a-z0-9])(?:[a-z][.\-_*]){2,}[a-z](?![a-z0-9])|(?<![a-z0-9])(?:[a-z] ){3,}[a-z](?![a-z0-9])")
+_WORD_ASCII = re.compile(r"[a-z0-9*@$]*[a-z0-9][a-z0-9*@$]*")
+
+
 def terms(passage: str) -> list[str]:
     """Words of a passage in one spelling: look-alikes, case, spelled-out, masked and stretched words undone."""
     text = canonical(passage).casefold()
-    text = _SPELLED.sub(lambda m: "".join(c for c in m.group() if c.isalnum()), text)
+    plain = text.isascii()
+    text = (_SPELLED_ASCII if plain else _SPELLED).sub(lambda m: "".join(c for c in m.group() if c.isalnum()), text)
     text = _REPEAT.sub(r"\1\1", text)
     out = []
-    for word in _WORD.findall(text):
-        if _CJK.match(word):
-            out.extend(word[i : i + 2] for i in range(len(word) - 1)) if len(word) > 1 else out.append(word)
+    for word in (_WORD_ASCII if plain else _WORD).findall(text):
+        if word.isalpha() and (plain or not _CJK.match(word)):
+            out.append(word)
         elif word.isdigit():
             out.append("0")
-        elif word.isalpha():
-            out.append(word)
+        elif _CJK.match(word):
+            out.extend(word[i : i + 2] for i in range(len(word) - 1)) if len(word) > 1 else out.append(word)
         else:
             out.append(word.translate(_SUBSTITUTES) if any(c.isalpha() for c in word) else word)
     return out

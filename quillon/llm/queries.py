@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions.text import normalize_title
+from quillon.llm.abuse import THRESHOLD, score_documents, source_rates
 from quillon.llm.components import page_groups
 from quillon.llm.heavy import heavy_hitters
 from quillon.llm.markup import markup_units
+from quillon.llm.mixing import mix, shares
+from quillon.llm.packing import fill_report, pack
 from quillon.llm.sentence_units import sentence_units
+from quillon.llm.tokens import token_count
 from quillon.llm.visual_form import look_alikes
 from quillon.storage import Scratch
 
@@ -50,8 +56,50 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return sentence_units(Scratch(spark, "articles").put(docs, "docs"), "id", "article", "lang")
 
 
+def _sizes(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Documents measured once: ``doc_id, source, tokens``."""
+    docs = _table(spark, sf, "documents").select("doc_id", "source", token_count("text").alias("tokens"))
+    return Scratch(spark, name).put(docs, "sizes")
+
+
+def _packed(spark: SparkSession, sf: str) -> list[tuple[str, int, DataFrame]]:
+    items = _sizes(spark, sf, "p8").select(F.col("doc_id").alias("item"), F.col("tokens").alias("size"))
+    # A handful of container kinds.
+    kinds = _table(spark, sf, "container").where("capacity_tokens > 0").distinct().orderBy("name").collect()
+    return [(r.name, r.capacity_tokens, pack(items, r.capacity_tokens)) for r in kinds]
+
+
+def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
+    parts = [p.select(F.lit(name).alias("container"), "bin", F.col("item").alias("doc_id"), "piece", F.col("size").alias("tokens")) for name, _, p in _packed(spark, sf)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
+    parts = [fill_report(p, c).select(F.lit(name).alias("container"), "bins", "used", "capacity", "fill") for name, c, p in _packed(spark, sf)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mix(_sizes(spark, sf, "p9"), _table(spark, sf, "mix_target"))
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    targets = _table(spark, sf, "mix_target")
+    return shares(mix(_sizes(spark, sf, "p9"), targets), targets)
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    scores = score_documents(_table(spark, sf, "documents"), _table(spark, sf, "abuse_label"))
+    return scores.where(F.col("score") >= THRESHOLD).select("doc_id")
+
+
+def p10_source_rates(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return source_rates(docs, score_documents(docs, _table(spark, sf, "abuse_label")))
+
+
 def queries():
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p7_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p7_found, p8_packed, p8_fill, p9_mix, p9_shares, p10_found, p10_source_rates)}
 
 
 _NORM = "upper(left(trim(replace({0}, '_', ' '), chr(32)||chr(9)||chr(10)||chr(13)||chr(160)||chr(12288)), 1)) || substr(trim(replace({0}, '_', ' '), chr(32)||chr(9)||chr(10)||chr(13)||chr(160)||chr(12288)), 2)"
