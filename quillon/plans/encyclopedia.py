@@ -286,11 +286,9 @@ def sentence_rows(spark, sf):
 
 
 def _raw_langlinks(spark, sf):
-    """Language links of the entities' site titles, as the dump would list them by page id."""
-    e = pages.latest(_table(spark, sf, "entity").select("id", "sitelinks", "loaded_at"))
-    site = e.where("sitelinks['enwiki'].title is not null").select(F.col("sitelinks")["enwiki"]["title"].alias("title"), F.explode("sitelinks").alias("site", "s")).where("site <> 'enwiki' and s.title is not null")
-    ids = _titles(spark, sf).select("title", "id")
-    return site.join(ids, "title", "left").select(F.coalesce("id", F.lit("0")).alias("ll_from"), F.regexp_replace("site", "wiki$", "").alias("ll_lang"), F.replace(F.col("s.title"), F.lit(" "), F.lit("_")).alias("ll_title"))
+    """Language links as a dump lists them: page id, language, title with ``_`` and an escaped quote."""
+    p = _pages(spark, sf, "title", "lang").where("title is not null and lang is not null")
+    return p.select(F.col("id").alias("ll_from"), F.col("lang").alias("ll_lang"), F.concat(F.replace("title", F.lit(" "), F.lit("_")), F.lit("\\'")).alias("ll_title"))
 
 
 def langlinks_attached(spark, sf):

@@ -52,13 +52,7 @@ _SENTENCES = f"""{_P},
       SELECT id, unnest(sentences) AS s, CAST(generate_subscripts(sentences, 1) - 1 AS INT) AS n FROM a) a JOIN p ON p.id = a.id),
   k AS (SELECT id, n, start_pos, end_pos, list_filter(coalesce(links, []), lambda x: x.start_pos >= start_pos AND x.end_pos <= end_pos) AS ls FROM s)"""
 _RAW = f"""{_ID2},
-  en AS (SELECT id, sitelinks FROM entity QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at) = 1),
-  site AS (
-    SELECT title, e.key AS site, e.value.title AS st FROM (SELECT sitelinks['enwiki'].title AS title, unnest(map_entries(sitelinks)) AS e FROM en)
-    WHERE title IS NOT NULL AND e.key <> 'enwiki' AND e.value.title IS NOT NULL),
-  raw AS (
-    SELECT coalesce(t.id, '0') AS ll_from, regexp_replace(site, 'wiki$', '') AS ll_lang, replace(st, ' ', '_') AS ll_title
-    FROM site LEFT JOIN titles t ON t.title = site.title),
+  raw AS (SELECT id AS ll_from, lang AS ll_lang, replace(title, ' ', '_') || '\\''' AS ll_title FROM p WHERE title IS NOT NULL AND lang IS NOT NULL),
   ll AS (
     SELECT ll_lang AS lang, translate(ll_title, '_\\', ' ') AS title, translate(target_title, '_\\', ' ') AS title_ll, target_id AS id_ll
     FROM raw JOIN id2title ON id2title.id = raw.ll_from)"""
