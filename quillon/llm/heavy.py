@@ -171,7 +171,7 @@ def _candidates(heavy: list[tuple[int, int]], least: int) -> dict[int, set[int]]
             found[group].add(value)
             word = encode(np.array([value], np.uint64))[0]
             at = (np.arange(LENGTH), word)
-            counts[at] -= counts[at][counts[at] > 0].min(initial=0)
+            counts[at] -= counts[at].min()
     return found
 
 

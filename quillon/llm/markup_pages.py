@@ -39,7 +39,9 @@ class _Page:
         r = self.rng
         words = [self.word(label), *r.choices(("the", "old", "mill", "was", "seen", "near", "town", "1733", "大きな", "башня"), k=r.randrange(4, 14))]
         if inline and r.random() < 0.35:
-            words.insert(r.randrange(1, len(words)), r.choice(inline))
+            words.insert(r.randrange(1, 5), r.choice(inline))
+        if r.random() < 0.12:  # captions, fragments, lines of verse
+            return " ".join(words[: r.randrange(1, 6)])
         return " ".join(words) + r.choice((".", ".", "!", "?", "。"))
 
     def paragraph(self, inline: tuple[str, ...]) -> str:

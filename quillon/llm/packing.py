@@ -4,8 +4,8 @@ Each superstep range-sorts the unplaced items and the gaps of the open container
 together.  A sweep from large to small within every task hands each item the
 smallest free gap that holds it; items left without one take, by rank, the free gaps
 of the next higher tasks, which the driver pairs from one count per task.  The gaps
-are updated, the largest items that found none open as many new containers as their
-total size needs, and the step repeats until nothing is left.
+are updated; if the waiting items exceed all gaps, or all room together, the largest
+of them open as many new containers as that takes; and the step repeats.
 
 A container takes one item a step.  To keep the steps few, items below an eighth of
 the capacity are first tied into bundles of up to a quarter, except every eighth of
@@ -135,7 +135,6 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
     gaps = tmp.put(left.where("false").select(F.col("item").alias("bin"), F.col("size").alias("room")), "gaps-0")
     placed: list[DataFrame] = []
     turn = 0
-    # Bundles that fill a container need no search.
     while not left.isEmpty():
         rows = left.select(F.col("item").alias("key"), F.col("size").alias("v"), F.lit(False).alias("gap")).unionByName(
             gaps.where("room > 0").select(F.col("bin").alias("key"), F.col("room").alias("v"), F.lit(True).alias("gap"))
@@ -158,18 +157,23 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
             pairs = pairs.unionByName(taken.where("q is not null").join(free, ["q", "at"]).select("item", "size", "bin", "room"))
             waits = taken.where("q is null").select("item", "size", "part", "rank")
             free = free.join(taken.where("q is not null").select("q", "at"), ["q", "at"], "left_anti")
+        pairs = tmp.put(pairs, f"matched-{turn}")
+        gaps = tmp.put(free.select("bin", "room").unionByName(pairs.select("bin", (F.col("room") - F.col("size")).alias("room"))), f"room-{turn}")
+        opened = pairs.where("false")
         if waiting:
-            need = -(-int(waits.agg(F.sum("size")).first()[0]) // capacity)
             offsets = F.broadcast(spark.createDataFrame(list(before.items()), "part int, offset bigint"))
-            ranked = waits.join(offsets, "part").withColumn("opens", F.col("rank") + F.col("offset") < need)
-            pairs = pairs.unionByName(ranked.where("opens").select("item", "size", F.col("item").alias("bin"), F.lit(capacity).cast("bigint").alias("room")))
-            rest = ranked.where("not opens").select("item", "size")
+            waits = tmp.put(waits.join(offsets, "part").select("item", "size", (F.col("rank") + F.col("offset")).alias("at")), f"waits-{turn}")
+            room = gaps.agg(F.coalesce(F.max("room"), F.lit(0)).alias("most"), F.coalesce(F.sum("room"), F.lit(0)).alias("all")).first()
+            size = waits.agg(F.sum("size").alias("all"), F.coalesce(F.sum(F.when(F.col("size") > room.most, F.col("size"))), F.lit(0)).alias("big")).first()
+            # New containers only for what cannot fit: items above every gap, and sizes beyond all room.
+            need = max(-(-int(size.big) // capacity), -(-(int(size["all"]) - int(room["all"])) // capacity), 0)
+            opened = waits.where(F.col("at") < need).select("item", "size", F.col("item").alias("bin"), F.lit(capacity).cast("bigint").alias("room"))
+            rest = waits.where(F.col("at") >= need).select("item", "size")
         else:
             rest = waits.select("item", "size")
-        pairs = tmp.put(pairs, f"pairs-{turn}")
-        placed.append(pairs.select(F.col("item").alias("bundle"), "bin"))
+        placed += [pairs.select(F.col("item").alias("bundle"), "bin"), opened.select(F.col("item").alias("bundle"), "bin")]
         turn += 1
-        gaps = tmp.put(free.select("bin", "room").unionByName(pairs.select("bin", (F.col("room") - F.col("size")).alias("room"))), f"gaps-{turn}")
+        gaps = gaps.unionByName(opened.select("bin", (F.col("room") - F.col("size")).alias("room")))
         left = tmp.put(rest, f"left-{turn}")
         tmp.drop(f"swept-{turn - 1}")
     if not placed:

@@ -102,14 +102,19 @@ def _quotations(line: str) -> list[tuple[int, int]]:
 class _Cut:
     """A possible end: of the unit's text (``end``), and the start of what follows (``next``)."""
 
-    __slots__ = ("end", "mark", "next", "word")
+    __slots__ = ("end", "initial", "mark", "next", "word")
+
+
+def _skip_marks(text: str, at: int) -> int:
+    """Where the first word after opening quotes, brackets and dashes starts."""
+    while at < len(text) and (text[at] in _OPEN_MARKS or text[at].isspace() and text[at - 1] in "—–-«"):
+        at += 1
+    return at
 
 
 def _opening(text: str, at: int, lang: str) -> str:
     """The word that opens what starts at ``at``: to the next blank, two characters in scripts without blanks."""
-    k = at
-    while k < len(text) and text[k] in _OPEN_MARKS:
-        k += 1
+    k = _skip_marks(text, at)
     head = text[k : k + 24]
     if lang in BLANK_ENDS:
         return head[:3]
@@ -144,13 +149,14 @@ def _cuts(line: str, lang: str) -> list[_Cut]:
         c = _Cut()
         c.end, c.next, c.mark = end, k, mark
         c.word = _closing(line, i) if mark == "." else ""
+        c.initial = len(c.word) == 1 and line[i - 1].isupper()
         found.append(c)
     if lang in BLANK_ENDS:
         known = {c.next for c in found}
         for m in _THAI_BLANK.finditer(line):
             if 0 < m.start() and m.end() < n and m.end() not in known:
                 c = _Cut()
-                c.end, c.next, c.mark, c.word = m.start(), m.end(), " ", ""
+                c.end, c.next, c.mark, c.word, c.initial = m.start(), m.end(), " ", "", False
                 found.append(c)
         found.sort(key=lambda c: c.end)
     return found
@@ -159,9 +165,7 @@ def _cuts(line: str, lang: str) -> list[_Cut]:
 def _local(line: str, c: _Cut, lang: str, closings: dict, openings: dict) -> float:
     """Score of ending at ``c`` from the closing word, the mark and the opening word."""
     nxt = line[c.next]
-    k = c.next
-    while k < len(line) and line[k] in _OPEN_MARKS:
-        k += 1
+    k = _skip_marks(line, c.next)
     first = line[k] if k < len(line) else nxt
     kind = unicodedata.category(first)
     cased = kind in ("Lu", "Lt")
@@ -172,6 +176,8 @@ def _local(line: str, c: _Cut, lang: str, closings: dict, openings: dict) -> flo
         score = 3.0 + closings.get(w, 0.0)
         if w in (_NEVER.get(lang, ()) if lang else _ANY_NEVER):
             score = -8.0
+        elif c.initial:
+            score = -5.0
         elif w in _MAYBE.get(lang, ()):
             score = 1.0
         elif len(w) == 1 and w.isalpha() and w not in "'":

@@ -111,7 +111,9 @@ class Transducer:
                 found = images[cluster] = self.image(cluster)
             return found
 
-        return self.cluster.sub(one, text)
+        out = self.cluster.sub(one, text)
+        # Images of neighbours may compose where their clusters meet (half-width jamo).
+        return out if unicodedata.is_normalized("NFC", out) else unicodedata.normalize("NFC", out)
 
 
 @cache
