@@ -19,7 +19,7 @@ def attach(raw: DataFrame, id2title: DataFrame, lang: str = "all") -> DataFrame:
 
 
 def rejects(raw: DataFrame, id2title: DataFrame) -> DataFrame:
-    return lookup_join(raw, id2title.select(F.col("id").alias("ll_from")), "ll_from", "left_anti")
+    return lookup_join(raw, id2title.select(F.col("id").alias("ll_from")), "ll_from", "left_anti").select("ll_from", "ll_lang", "ll_title")
 
 
 def first_by_title(links: DataFrame) -> DataFrame:

@@ -35,12 +35,12 @@ def title_table(pages: DataFrame) -> DataFrame:
 def redirects(titles: DataFrame) -> DataFrame:
     """``(title, target)`` of the redirects whose target is a title."""
     known = titles.select(F.col("title").alias("target"))
-    return lookup_join(titles.where("redirect is not null").select("title", F.col("redirect").alias("target")), known, "target", "left_semi")
+    return lookup_join(titles.where("redirect is not null").select("title", F.col("redirect").alias("target")), known, "target", "left_semi").select("title", "target")
 
 
 def dangling_redirects(titles: DataFrame) -> DataFrame:
     known = titles.select(F.col("title").alias("target"))
-    return lookup_join(titles.where("redirect is not null").select("title", F.col("redirect").alias("target")), known, "target", "left_anti")
+    return lookup_join(titles.where("redirect is not null").select("title", F.col("redirect").alias("target")), known, "target", "left_anti").select("title", "target")
 
 
 def follow_redirects(valid: DataFrame, max_hops: int = 1) -> DataFrame:
