@@ -245,8 +245,10 @@ def features(found: list[Block], text: str) -> list[list[str]]:
             f"s={s}|blank={b.before}", f"s={s}|blank={b.before}|prev={prev}", f"s={s}|len={min(6, n // 20)}",
             f"s={s}|end={b.body[-1:] in '.!?。！？।።؟…'}",
         ]
-        for c in page:
-            names.append(f"s={s}|has={c}")
+        names += [f"s={s}|has={c}" for c in page]
+        names.append(f"s={s}|alone={s not in (prev, nxt)}|{b.before}{b.after}")
+        if s in ("hash1", "hash2"):
+            names.append(f"closed={b.body[-1] == '#'}|{s}")
         out.append(names)
     return out
 
@@ -261,7 +263,7 @@ def model() -> crf.Chain:
         found, _ = blocks(text)
         chains.append(features(found, text))
         tags.append(align(text, found, spans))
-    return crf.train(chains, tags, LABELS)
+    return crf.train(chains, tags, LABELS, rounds=150)
 
 
 def align(text: str, found: list[Block], spans: list[tuple[str, str]]) -> list[str]:
