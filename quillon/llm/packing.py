@@ -24,6 +24,8 @@ from quillon.storage import Scratch
 
 #: Items under capacity/SMALL are tied into bundles of at most 2*capacity/SMALL, one in LOOSE is not.
 SMALL, LOOSE = 8, 8
+#: Rows of a range in a superstep.
+RANGE_ROWS = 500_000
 
 
 def pieces(items: DataFrame, capacity: int) -> DataFrame:
@@ -131,22 +133,24 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
     kind = items.schema["item"].dataType.simpleString()
     tied = tmp.put(keyed.select("key", "item", "piece", "size", "loose").mapInPandas(_tie(capacity), f"bundle string, item {kind}, piece int, size bigint"), "tied")
     # A bundle never leaves the task that ties it, so its size is a map-side sum.
-    left = tmp.put(tied.groupBy(F.col("bundle").alias("item")).agg(F.sum("size").alias("size")), "left-0")
-    gaps = tmp.put(left.where("false").select(F.col("item").alias("bin"), F.col("size").alias("room")), "gaps-0")
+    left = tmp.put(tied.groupBy(F.col("bundle").alias("item")).agg(F.sum("size").alias("size")), "bundles")
+    gaps = left.where("false").select(F.col("item").alias("bin"), F.col("size").alias("room"))
+    order = [F.col("v").desc(), F.col("gap").desc(), F.xxhash64("key"), F.col("key")]
     placed: list[DataFrame] = []
-    turn = 0
-    while not left.isEmpty():
+    n_left, n_gaps, turn = left.count(), 0, 0
+    while n_left:
         rows = left.select(F.col("item").alias("key"), F.col("size").alias("v"), F.lit(False).alias("gap")).unionByName(
             gaps.where("room > 0").select(F.col("bin").alias("key"), F.col("room").alias("v"), F.lit(True).alias("gap"))
         )
-        order = [F.col("v").desc(), F.col("gap").desc(), F.xxhash64("key"), F.col("key")]
+        # As many ranges as the rows need; the pairs are the same for any number of them.
+        parts = -(-(n_left + n_gaps) // RANGE_ROWS)
         swept = tmp.put(
-            rows.repartitionByRange(*order).sortWithinPartitions(*order)
+            rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
             .mapInPandas(_sweep, "part int, kind int, rank bigint, item string, size bigint, bin string, room bigint"), f"swept-{turn}",
         )
-        # One count per task and kind.
-        counts = {(r.part, r.kind): r["count"] for r in swept.groupBy("part", "kind").count().collect()}
-        segments, before, waiting = _pair(counts)
+        # A few sums per task and kind.
+        stats = swept.groupBy("part", "kind").agg(F.count("*").alias("n"), F.sum(F.col("room") - F.col("size")).alias("room"), F.max(F.col("room") - F.col("size")).alias("most")).collect()
+        segments, before, waiting = _pair({(r.part, r.kind): r.n for r in stats})
         pairs = swept.where("kind = 0").select("item", "size", "bin", "room")
         free = swept.where("kind = 2").select("bin", "room", F.col("part").alias("q"), F.col("rank").alias("at"))
         waits = swept.where("kind = 1").select("item", "size", "part", "rank")
@@ -154,28 +158,30 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
             table = F.broadcast(spark.createDataFrame(segments, "p int, lo bigint, hi bigint, q int, shift bigint"))
             hit = waits.join(table, (F.col("part") == F.col("p")) & F.col("rank").between(F.col("lo"), F.col("hi")), "left")
             taken = tmp.put(hit.withColumn("at", F.col("rank") + F.col("shift")).select("item", "size", "part", "rank", "q", "at"), f"taken-{turn}")
-            pairs = pairs.unionByName(taken.where("q is not null").join(free, ["q", "at"]).select("item", "size", "bin", "room"))
+            crossed = taken.where("q is not null")
+            pairs = tmp.put(pairs.unionByName(crossed.join(free, ["q", "at"]).select("item", "size", "bin", "room")), f"pairs-{turn}")
             waits = taken.where("q is null").select("item", "size", "part", "rank")
-            free = free.join(taken.where("q is not null").select("q", "at"), ["q", "at"], "left_anti")
-        pairs = tmp.put(pairs, f"matched-{turn}")
-        gaps = tmp.put(free.select("bin", "room").unionByName(pairs.select("bin", (F.col("room") - F.col("size")).alias("room"))), f"room-{turn}")
-        opened = pairs.where("false")
-        if waiting:
-            offsets = F.broadcast(spark.createDataFrame(list(before.items()), "part int, offset bigint"))
-            waits = tmp.put(waits.join(offsets, "part").select("item", "size", (F.col("rank") + F.col("offset")).alias("at")), f"waits-{turn}")
-            room = gaps.agg(F.coalesce(F.max("room"), F.lit(0)).alias("most"), F.coalesce(F.sum("room"), F.lit(0)).alias("all")).first()
-            size = waits.agg(F.sum("size").alias("all"), F.coalesce(F.sum(F.when(F.col("size") > room.most, F.col("size"))), F.lit(0)).alias("big")).first()
-            # New containers only for what cannot fit: items above every gap, and sizes beyond all room.
-            need = max(-(-int(size.big) // capacity), -(-(int(size["all"]) - int(room["all"])) // capacity), 0)
-            opened = waits.where(F.col("at") < need).select("item", "size", F.col("item").alias("bin"), F.lit(capacity).cast("bigint").alias("room"))
-            rest = waits.where(F.col("at") >= need).select("item", "size")
+            free = tmp.put(free.join(crossed.select("q", "at"), ["q", "at"], "left_anti"), f"free-{turn}")
+        gaps = free.select("bin", "room").unionByName(pairs.select("bin", (F.col("room") - F.col("size")).alias("room")))
+        n_gaps = sum(r.n for r in stats if r.kind != 1)
+        if not waiting:
+            placed.append(pairs.select(F.col("item").alias("bundle"), "bin"))
+            break
+        if segments:
+            room = gaps.agg(F.coalesce(F.sum("room"), F.lit(0)).alias("room"), F.coalesce(F.max("room"), F.lit(0)).alias("most")).first()
+            total, most = int(room["room"]), int(room["most"])
         else:
-            rest = waits.select("item", "size")
+            total, most = sum(int(r["room"]) for r in stats if r.kind != 1), max((int(r.most) for r in stats if r.kind != 1), default=0)
+        size = waits.agg(F.sum("size").alias("all"), F.coalesce(F.sum(F.when(F.col("size") > most, F.col("size"))), F.lit(0)).alias("big")).first()
+        # New containers only for what cannot fit: items above every gap, and sizes beyond all room.
+        need = min(waiting, max(-(-int(size.big) // capacity), -(-(int(size["all"]) - total) // capacity), 0))
+        offsets = F.broadcast(spark.createDataFrame(list(before.items()), "part int, offset bigint"))
+        waits = waits.join(offsets, "part").select("item", "size", (F.col("rank") + F.col("offset")).alias("at"))
+        opened = waits.where(F.col("at") < need).select("item", "size", F.col("item").alias("bin"), F.lit(capacity).cast("bigint").alias("room"))
         placed += [pairs.select(F.col("item").alias("bundle"), "bin"), opened.select(F.col("item").alias("bundle"), "bin")]
-        turn += 1
         gaps = gaps.unionByName(opened.select("bin", (F.col("room") - F.col("size")).alias("room")))
-        left = tmp.put(rest, f"left-{turn}")
-        tmp.drop(f"swept-{turn - 1}")
+        left = waits.where(F.col("at") >= need).select("item", "size")
+        n_left, n_gaps, turn = waiting - need, n_gaps + need, turn + 1
     if not placed:
         return tied.select(F.col("bundle").alias("bin"), "item", "piece", "size")
     where = placed[0]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillon.llm import crf, heavy
+from quillon.llm import crf, heavy, packing
 from quillon.llm.abuse import BlockMaxIndex
 from quillon.llm.components import connected_groups, page_groups
 from quillon.llm.mixing import mix, mix_plan, shares
@@ -166,8 +166,9 @@ def check_packing(items, capacity, packed):
     return len(room)
 
 
-@pytest.mark.parametrize("capacity", [64, 512])
-def test_packing(spark, capacity):
+@pytest.mark.parametrize(("capacity", "range_rows"), [(64, 500_000), (64, 150), (512, 500_000), (512, 60)])
+def test_packing(spark, capacity, range_rows, monkeypatch):
+    monkeypatch.setattr(packing, "RANGE_ROWS", range_rows)
     rng = random.Random(4)
     items = [(i, int(rng.lognormvariate(3, 1.2)) + 1) for i in range(600)] + [(1000 + i, 33) for i in range(300)] + [(2000, 10 * capacity + 3), (2001, 0), (2002, None), (2003, capacity)]
     packed = pack(spark.createDataFrame(items, "item long, size long"), capacity).cache()
