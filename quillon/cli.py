@@ -48,7 +48,7 @@ def _mentions(spark, a):
 def _graph(spark, a):
     e = graph.edges(spark.read.parquet(a.links))
     sinks.write_table(e, a.out + "/edges", sort=["src", "dst"])
-    sinks.write_table(graph.reverse(e), a.out + "/reversed", sort=["src", "dst"])
+    sinks.write_table(graph.inlinks(e), a.out + "/inlinks", sort=["title", "source"])
 
 
 def _langlinks(spark, a):

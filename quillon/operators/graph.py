@@ -12,13 +12,13 @@ def edges(links: DataFrame) -> DataFrame:
 
 
 def outlinks(e: DataFrame) -> DataFrame:
-    """``(title, n, targets)`` with the distinct targets in order."""
-    return e.groupBy(F.col("src").alias("title")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list("dst")).alias("targets"))
+    """``(title, target)``: one row a distinct link; a hub's targets never meet in one list."""
+    return e.select(F.col("src").alias("title"), F.col("dst").alias("target"))
 
 
-def reverse(e: DataFrame) -> DataFrame:
-    """Inlinks: the edges turned round."""
-    return e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+def inlinks(e: DataFrame) -> DataFrame:
+    """``(title, source)``: the edges turned round."""
+    return e.select(F.col("dst").alias("title"), F.col("src").alias("source"))
 
 
 def degrees(e: DataFrame) -> DataFrame:

@@ -54,8 +54,12 @@ def property_names(entity: DataFrame, lang: str = "en") -> DataFrame:
 
 
 def invert_list(pairs: DataFrame) -> DataFrame:
-    """``(v, keys)``: 1:n inversion, repeated keys kept, in order of the key."""
-    return pairs.groupBy("v").agg(F.array_sort(F.collect_list("k")).alias("keys"))
+    """``(v, k, n)``: 1:n inversion with one row for each of the ``n`` keys of a value, repeated keys kept.
+
+    A frequent value's keys stay spread over all tasks; ``n`` is looked up.
+    """
+    sizes = pairs.groupBy("v").agg(F.count("*").alias("n"))
+    return lookup_join(pairs.select("v", "k"), sizes, "v")
 
 
 def invert_unique(pairs: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ def latest(df: DataFrame, key: str = "id", at: str = "loaded_at", keep: str = "m
     """
     first = F.min_by if keep == "min" else F.max_by
     rest = [c for c in df.columns if c != key]
-    return df.groupBy(key).agg(first(F.struct(*rest), at).alias("r")).select(key, "r.*")
+    # Keys hardly repeat, so combining before the shuffle would only sort everything twice.
+    return df.repartition(key).groupBy(key).agg(first(F.struct(*rest), at).alias("r")).select(key, "r.*")
 
 
 def main_namespace(raw: DataFrame) -> DataFrame:

@@ -27,8 +27,11 @@ def _titles(spark, sf) -> DataFrame:
     return pages.title_table(_pages(spark, sf, "title", "redirect", "disambiguation"))
 
 
-def _links(spark, sf) -> DataFrame:
-    return pages.page_links(_pages(spark, sf, "title", "links"))
+def _links(spark, sf, *fields) -> DataFrame:
+    """Links of each page once; only the fields asked for are read and shuffled."""
+    fields = fields or ("text", "start_pos", "end_pos", "title", "id")
+    p = _table(spark, sf, "page").select("id", "title", F.arrays_zip(*[f"links.{f}" for f in fields]).alias("links"), "loaded_at")
+    return pages.page_links(pages.latest(p))
 
 
 def _kept(spark, name: str, df: DataFrame) -> DataFrame:
@@ -68,7 +71,7 @@ def disambiguations(spark, sf):
 
 def links_resolved(spark, sf):
     titles = _kept(spark, "titles", _titles(spark, sf))
-    links = _kept(spark, "links", _links(spark, sf).select("page_id", "pos", "title", "id"))
+    links = _kept(spark, "links", _links(spark, sf, "title", "id").drop("page_title"))
     return pages.resolve_links(links, titles, pages.redirects(titles))
 
 
@@ -89,17 +92,15 @@ def page_sections(spark, sf):
 
 
 def link_counters(spark, sf):
-    return graph.link_counters(_links(spark, sf))
+    return graph.link_counters(_links(spark, sf, "id"))
 
 
 def outlinks(spark, sf):
-    out = graph.outlinks(graph.edges(_links(spark, sf)))
-    return out.select("title", "n", F.array_join("targets", "|").alias("targets"))
+    return graph.outlinks(graph.edges(_links(spark, sf, "title", "id")))
 
 
 def inlinks(spark, sf):
-    out = graph.outlinks(graph.reverse(graph.edges(_links(spark, sf))))
-    return out.select("title", "n", F.array_join("targets", "|").alias("targets"))
+    return graph.inlinks(graph.edges(_links(spark, sf, "title", "id")))
 
 
 def edge_degrees(spark, sf):
@@ -111,20 +112,20 @@ def page_categories(spark, sf):
 
 
 def mention_counts(spark, sf):
-    return mentions.mention_counts(mentions.valid_links(_links(spark, sf)))
+    return mentions.mention_counts(mentions.valid_links(_links(spark, sf, "text", "title", "id")))
 
 
 def mention_counts_raw(spark, sf):
-    return mentions.mention_counts(mentions.valid_links(_links(spark, sf)), expand=False)
+    return mentions.mention_counts(mentions.valid_links(_links(spark, sf, "text", "title", "id")), expand=False)
 
 
 def mention_threshold(spark, sf):
-    return mentions.mention_counts(mentions.valid_links(_links(spark, sf)), threshold=2)
+    return mentions.mention_counts(mentions.valid_links(_links(spark, sf, "text", "title", "id")), threshold=2)
 
 
 def mention_allow_list(spark, sf):
     allowed = _table(spark, sf, "article")
-    return mentions.mention_counts(mentions.valid_links(_kept(spark, "links", _links(spark, sf).select("text", "title", "id")), allowed))
+    return mentions.mention_counts(mentions.valid_links(_kept(spark, "links", _links(spark, sf, "text", "title", "id")), allowed))
 
 
 def _scores(spark, sf, given):
@@ -151,7 +152,7 @@ def mention_nysiis(spark, sf):
         for s in batches:
             yield s.map(nysiis)
 
-    return mentions.mention_counts(mentions.valid_links(_links(spark, sf)), encode=lambda c: F.pandas_udf(run, "string")(c))
+    return mentions.mention_counts(mentions.valid_links(_links(spark, sf, "text", "title", "id")), encode=lambda c: F.pandas_udf(run, "string")(c))
 
 
 def titles_normalized(spark, sf):

@@ -75,8 +75,8 @@ def oracle_sql() -> dict[str, str]:
         "page_links": f"WITH {_L} SELECT page_id, pos, text, start_pos, end_pos, title, id FROM links",
         "page_sections": f"WITH {_P} SELECT page_id, pos, s.text AS text, s.start_pos AS start_pos, s.end_pos AS end_pos, s.title AS title, s.level AS level FROM (SELECT id AS page_id, unnest(sections) AS s, CAST(generate_subscripts(sections, 1) - 1 AS INT) AS pos FROM p)",
         "link_counters": f"WITH {_L} SELECT count(*) AS num_of_links, count(*) FILTER (id IS NULL OR id = '') AS num_of_invalid_title FROM links",
-        "outlinks": f"WITH {_E} SELECT src AS title, count(*) AS n, string_agg(dst, '|' ORDER BY dst) AS targets FROM e GROUP BY src",
-        "inlinks": f"WITH {_E} SELECT dst AS title, count(*) AS n, string_agg(src, '|' ORDER BY src) AS targets FROM e GROUP BY dst",
+        "outlinks": f"WITH {_E} SELECT src AS title, dst AS target FROM e",
+        "inlinks": f"WITH {_E} SELECT dst AS title, src AS source FROM e",
         "edge_degrees": "WITH e AS (SELECT DISTINCT src, dst FROM edge WHERE src IS NOT NULL AND dst IS NOT NULL) SELECT title, CAST(sum(o) AS BIGINT) AS n_out, CAST(sum(i) AS BIGINT) AS n_in FROM (SELECT src AS title, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst, 0, 1 FROM e) GROUP BY title",
         "page_categories": f"WITH {_P} SELECT DISTINCT title, category FROM (SELECT title, unnest(categories) AS category FROM p WHERE title IS NOT NULL) WHERE category IS NOT NULL",
         "mention_counts": f"WITH {_mentions()} SELECT * FROM counts",

@@ -74,8 +74,7 @@ def property_names(spark, sf):
 
 
 def invert_p31(spark, sf):
-    out = kb.invert_list(_list(spark, sf, "P31"))
-    return out.select("v", F.size("keys").cast("bigint").alias("n"), F.array_join("keys", "|").alias("keys"))
+    return kb.invert_list(_kept(spark, _list(spark, sf, "P31")))
 
 
 def invert_p646(spark, sf):
@@ -170,7 +169,7 @@ def oracle_sql() -> dict[str, str]:
         "descriptions_en": _language("descriptions", "en"),
         "sitelinks_en": _language("sitelinks", "enwiki", "title"),
         "property_names": _language("labels", "en") + " AND regexp_matches(id, '^P\\d+$')",
-        "invert_p31": f"WITH {_listed('P31')} SELECT v, count(*) AS n, string_agg(k, '|' ORDER BY k) AS keys FROM l GROUP BY v",
+        "invert_p31": f"WITH {_listed('P31')} SELECT v, k, count(*) OVER (PARTITION BY v) AS n FROM l",
         "invert_p646": f"WITH {_listed('P646', 'value_raw')}, u AS (SELECT k, max_by(v, pos) AS v FROM l GROUP BY k) SELECT v, max(k) AS k, count(*) AS n FROM u GROUP BY v",
         "instances_of_commonest": f"WITH {_listed('P31')} SELECT DISTINCT s AS id FROM claims WHERE property = 'P31' AND value_id = (SELECT v FROM l GROUP BY v ORDER BY count(*) DESC, v LIMIT 1)",
         "ids_by_site_title": f"WITH {_EN} SELECT sitelinks['enwiki'].title AS title, min(id) AS id FROM en WHERE sitelinks['enwiki'].title <> '' GROUP BY 1",
