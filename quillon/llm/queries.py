@@ -41,7 +41,7 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     links = _table(spark, sf, "page").select("id", F.col("links.title").alias("titles")).where("links is not null")
-    titles = links.dropDuplicates(["id"]).select(F.explode("titles").alias("title"))
+    titles = links.repartition("id").dropDuplicates(["id"]).select(F.explode("titles").alias("title"))
     return heavy_hitters(Scratch(spark, "links").put(titles, "titles"), "title", 0.005).select(F.col("value").alias("title"))
 
 
