@@ -137,10 +137,11 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
     gaps = left.where("false").select(F.col("item").alias("bin"), F.col("size").alias("room"))
     order = [F.col("v").desc(), F.col("gap").desc(), F.xxhash64("key"), F.col("key")]
     placed: list[DataFrame] = []
-    n_left, n_gaps, turn = left.count(), 0, 0
+    n_left, n_gaps, turn, least = left.count(), 0, 0, 1
     while n_left:
         rows = left.select(F.col("item").alias("key"), F.col("size").alias("v"), F.lit(False).alias("gap")).unionByName(
-            gaps.where("room > 0").select(F.col("bin").alias("key"), F.col("room").alias("v"), F.lit(True).alias("gap"))
+            # Gaps below the smallest waiting item are out of the game.
+            gaps.where(F.col("room") >= least).select(F.col("bin").alias("key"), F.col("room").alias("v"), F.lit(True).alias("gap"))
         )
         # As many ranges as the rows need; the pairs are the same for any number of them.
         parts = -(-(n_left + n_gaps) // RANGE_ROWS)
@@ -169,19 +170,22 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
             break
         if segments:
             room = gaps.agg(F.coalesce(F.sum("room"), F.lit(0)).alias("room"), F.coalesce(F.max("room"), F.lit(0)).alias("most")).first()
-            total, most = int(room["room"]), int(room["most"])
+            total, most = int(room.room), int(room.most)
         else:
             total, most = sum(int(r["room"]) for r in stats if r.kind != 1), max((int(r.most) for r in stats if r.kind != 1), default=0)
-        size = waits.agg(F.sum("size").alias("all"), F.coalesce(F.sum(F.when(F.col("size") > most, F.col("size"))), F.lit(0)).alias("big")).first()
+        size = waits.agg(F.sum("size").alias("all"), F.min("size").alias("least"), F.coalesce(F.sum(F.when(F.col("size") > most, F.col("size"))), F.lit(0)).alias("big")).first()
         # New containers only for what cannot fit: items above every gap, and sizes beyond all room.
         need = min(waiting, max(-(-int(size.big) // capacity), -(-(int(size["all"]) - total) // capacity), 0))
-        offsets = F.broadcast(spark.createDataFrame(list(before.items()), "part int, offset bigint"))
-        waits = waits.join(offsets, "part").select("item", "size", (F.col("rank") + F.col("offset")).alias("at"))
+        if len(before) > 1:
+            offsets = F.broadcast(spark.createDataFrame(list(before.items()), "part int, offset bigint"))
+            waits = waits.join(offsets, "part").select("item", "size", (F.col("rank") + F.col("offset")).alias("at"))
+        else:
+            waits = waits.select("item", "size", (F.col("rank") + F.lit(next(iter(before.values())))).alias("at"))
         opened = waits.where(F.col("at") < need).select("item", "size", F.col("item").alias("bin"), F.lit(capacity).cast("bigint").alias("room"))
         placed += [pairs.select(F.col("item").alias("bundle"), "bin"), opened.select(F.col("item").alias("bundle"), "bin")]
         gaps = gaps.unionByName(opened.select("bin", (F.col("room") - F.col("size")).alias("room")))
         left = waits.where(F.col("at") >= need).select("item", "size")
-        n_left, n_gaps, turn = waiting - need, n_gaps + need, turn + 1
+        n_left, n_gaps, turn, least = waiting - need, n_gaps + need, turn + 1, int(size.least)
     if not placed:
         return tied.select(F.col("bundle").alias("bin"), "item", "piece", "size")
     where = placed[0]
