@@ -51,6 +51,13 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def append(self, df: DataFrame, name: str) -> None:
+        """Add rows to a table; whoever reads it later sees a single scan."""
+        df.write.mode("append").parquet(f"{self.root}/{name}")
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
     def drop(self, name: str) -> None:
         fs, p = _fs_path(self.spark, f"{self.root}/{name}")
         fs.delete(p, True)
