@@ -136,7 +136,6 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
     left = tmp.put(tied.groupBy(F.col("bundle").alias("item")).agg(F.sum("size").alias("size")), "bundles")
     gaps = left.where("false").select(F.col("item").alias("bin"), F.col("size").alias("room"))
     order = [F.col("v").desc(), F.col("gap").desc(), F.xxhash64("key"), F.col("key")]
-    placed: list[DataFrame] = []
     n_left, n_gaps, turn, least = left.count(), 0, 0, 1
     while n_left:
         rows = left.select(F.col("item").alias("key"), F.col("size").alias("v"), F.lit(False).alias("gap")).unionByName(
@@ -166,7 +165,8 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
         gaps = free.select("bin", "room").unionByName(pairs.select("bin", (F.col("room") - F.col("size")).alias("room")))
         n_gaps = sum(r.n for r in stats if r.kind != 1)
         if not waiting:
-            placed.append(pairs.select(F.col("item").alias("bundle"), "bin"))
+            tmp.append(pairs.select(F.col("item").alias("bundle"), "bin"), "placed")
+            turn += 1
             break
         if segments:
             room = gaps.agg(F.coalesce(F.sum("room"), F.lit(0)).alias("room"), F.coalesce(F.max("room"), F.lit(0)).alias("most")).first()
@@ -182,16 +182,14 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
         else:
             waits = waits.select("item", "size", (F.col("rank") + F.lit(next(iter(before.values())))).alias("at"))
         opened = waits.where(F.col("at") < need).select("item", "size", F.col("item").alias("bin"), F.lit(capacity).cast("bigint").alias("room"))
-        placed += [pairs.select(F.col("item").alias("bundle"), "bin"), opened.select(F.col("item").alias("bundle"), "bin")]
+        tmp.append(pairs.unionByName(opened).select(F.col("item").alias("bundle"), "bin"), "placed")
+        tmp.drop(f"swept-{turn - 1}")
         gaps = gaps.unionByName(opened.select("bin", (F.col("room") - F.col("size")).alias("room")))
         left = waits.where(F.col("at") >= need).select("item", "size")
         n_left, n_gaps, turn, least = waiting - need, n_gaps + need, turn + 1, int(size.least)
-    if not placed:
+    if not turn:
         return tied.select(F.col("bundle").alias("bin"), "item", "piece", "size")
-    where = placed[0]
-    for p in placed[1:]:
-        where = where.unionByName(p)
-    return tied.join(where, "bundle").select("bin", "item", "piece", "size")
+    return tied.join(tmp.read("placed"), "bundle").select("bin", "item", "piece", "size")
 
 
 def fill_report(packed: DataFrame, capacity: int) -> DataFrame:
