@@ -57,6 +57,7 @@ _OPAQUE = regex.compile(
     | (?P<texcomment>^%[^\n]*$)
     | (?P<indented>(?:(?<=\n[ \t]*\n)|\A)(?:[ ]{{4}}[^\n]*\S[^\n]*(?:\n|\Z))+)
     | (?P<escape>\\[\\`*_{{}}\[\]()\#+.!$%&|~-](?!\[))
+    | (?P<private>\ue000)
     """,
     regex.X | regex.S | regex.M | regex.I,
 )
@@ -103,6 +104,15 @@ _NESTED_HTML = regex.compile(r"<(?:p|ul|ol|div|table)\b", regex.I)
 _HTML = regex.compile(r"</?(?:p|ul|ol|li|h[1-6]|div|table|span)\b", regex.I)
 
 
+class Piece:
+    """A line, or what block tags leave of one: where it starts in the reduced text, its text, the block made of it, the held spans in it."""
+
+    __slots__ = ("at", "block", "line", "spans")
+
+    def __init__(self, at: int, line: str):
+        self.at, self.line, self.block, self.spans = at, line, None, []
+
+
 class Block:
     """A leaf block: where it starts, its shape, its innermost container, blanks around it, its text."""
 
@@ -120,6 +130,11 @@ def _formula_shape(kind: str, body: str) -> str:
 
 def blocks(text: str) -> tuple[list[Block], bool]:
     """Leaf blocks in order, and whether inline markup of any sort was seen outside them."""
+    return scan(text)[:2]
+
+
+def scan(text: str) -> tuple[list[Block], bool, str, list[Piece]]:
+    """``blocks``, the reduced text, and its pieces; a span is ``(kind, text, block or None)``, one for each ``_MARK`` of the piece."""
     held: list[tuple[int, str, str]] = []
     marked = False
     nested = _NESTED_HTML.search(text) is not None
@@ -142,9 +157,10 @@ def blocks(text: str) -> tuple[list[Block], bool]:
         last = m.end()
     pieces.append(text[last:])
     reduced = "".join(pieces)
-    if held or _INLINE.search(reduced):
+    if any(kind != "private" for _, kind, _ in held) or _INLINE.search(reduced):
         marked = True
     found: list[Block] = []
+    layout: list[Piece] = []
     if "<" in reduced:
         segments = _segments(reduced)
     else:
@@ -152,6 +168,8 @@ def blocks(text: str) -> tuple[list[Block], bool]:
     blank, n = True, 0
     # Offsets of the reduced text are good enough for order; ``start`` is looked up for held spans.
     for at, line, inside, deep, opened in segments:
+        piece = Piece(at, line)
+        layout.append(piece)
         body = line.strip()
         if not body:
             if not opened:
@@ -176,6 +194,7 @@ def blocks(text: str) -> tuple[list[Block], bool]:
         only = body.strip(_MARK + " .,;") == "" and _MARK in body
         if body and not (only and not shape):
             found.append(Block(at, shape or "plain", inside, deep, blank, body))
+            piece.block = found[-1]
             blank = False
         for ch in body:
             if ch == _MARK:
@@ -186,12 +205,14 @@ def blocks(text: str) -> tuple[list[Block], bool]:
                 elif kind in ("codetag", "fence", "codeenv", "indented"):
                     found.append(Block(at, kind, inside, deep, only, raw))
                 else:
+                    piece.spans.append((kind, raw, None))
                     continue
+                piece.spans.append((kind, raw, found[-1]))
                 blank = False
-    return found, marked
+    return found, marked, reduced, layout
 
 
-_KINDS = ("comment", "script", "nowiki", "codetag", "codespan", "fence", "codeenv", "verb", "mathtag", "mathenv", "mathdelim", "dollars", "dollar", "tick", "texcomment", "indented", "escape")
+_KINDS = ("comment", "script", "nowiki", "codetag", "codespan", "fence", "codeenv", "verb", "mathtag", "mathenv", "mathdelim", "dollars", "dollar", "tick", "texcomment", "indented", "escape", "private")
 _LINE_KINDS = ("eq", "hash", "rule", "stars", "hashes", "star", "plus", "dash", "number", "sec", "item", "env", "quote", "indent", "table", "template", "switch")
 _LISTS = frozenset(("star", "stars", "plus", "dash", "number", "hash", "hash1", "hashes", "item", "li"))
 _FORMULA = regex.compile(r"[\\^_={}<>+*/]|^\$[A-Za-z]\w?\$$")

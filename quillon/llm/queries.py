@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions.text import normalize_title
 from quillon.llm.abuse import THRESHOLD, score_documents, source_rates
+from quillon.llm.clean_text import clean_pages
 from quillon.llm.components import page_groups
 from quillon.llm.heavy import heavy_hitters
 from quillon.llm.markup import markup_units
@@ -50,6 +51,11 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return markup_units(_table(spark, sf, "page"), "id", "article")
 
 
+def p5_clean_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page's article as clean text, units kept in a marked form."""
+    return clean_pages(_table(spark, sf, "page"), "id", "article")
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     wanted = _table(spark, sf, "annotated").select("id").distinct()
     docs = _table(spark, sf, "page").select("id", "article", "lang").where("article is not null").join(wanted, "id", "left_semi").dropDuplicates(["id"])
@@ -103,7 +109,7 @@ def p10_source_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p7_found, p8_packed, p8_fill, p9_mix, p9_shares, p10_found, p10_source_rates)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p5_clean_text, p7_found, p8_packed, p8_fill, p9_mix, p9_shares, p10_found, p10_source_rates)}
 
 
 _NORM = "upper(left(trim(replace({0}, '_', ' '), chr(32)||chr(9)||chr(10)||chr(13)||chr(160)||chr(12288)), 1)) || substr(trim(replace({0}, '_', ' '), chr(32)||chr(9)||chr(10)||chr(13)||chr(160)||chr(12288)), 2)"
