@@ -34,8 +34,8 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_descendants(spark: SparkSession, sf: str) -> DataFrame:
-    """How many entities lie below each class, and how far the lowest."""
-    paths = hierarchy(parent_statements(_table(spark, sf, "entity")), "child", "parent", with_paths=True)
+    """How many entities lie below each class, and how far the lowest; only pairs within a loop are left out."""
+    paths = hierarchy(parent_statements(_table(spark, sf, "entity")), "child", "parent", with_paths=True, loop_paths=True)
     return descendants(paths).groupBy("ancestor_id").agg(F.count("*").alias("n_below"), F.max("distance").alias("height"))
 
 
