@@ -161,7 +161,7 @@ def titles_normalized(spark, sf):
 
 
 def namespace_titles(spark, sf):
-    t = _table(spark, sf, "page").where("title rlike '^[A-Za-z ]+$'").select("title").distinct()
+    t = _table(spark, sf, "page").where("title is not null").select("title").distinct()
     return t.select("title", T.namespace_title(F.concat(F.lit("talk:_ "), F.lower("title"))).alias("full"))
 
 
@@ -193,7 +193,7 @@ def _parsed(spark, sf, markup):
     """Pages whose markup is made of their title, parsed."""
     from quillon.sources.dumps import parse_pages
 
-    raw = _pages(spark, sf, "title").where("title rlike '^[A-Za-z ]+$'").select("id", "title", F.lit("0").alias("ns"), F.lit(None).cast("string").alias("redirect"), markup.alias("markup"))
+    raw = _pages(spark, sf, "title").where("title is not null").select("id", "title", F.lit("0").alias("ns"), F.lit(None).cast("string").alias("redirect"), markup.alias("markup"))
     return parse_pages(raw)
 
 
