@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -63,8 +63,8 @@ _OPEN_MARKS = "“”„\"«»(（「『[‘'‹¿¡—–-"
 _LINE = regex.compile(r"[^\n\r  \x0b\x0c\x85]+")
 _THAI = regex.compile(r"\p{Thai}|\p{Lao}|\p{Khmer}")
 
-#: Most candidates one span may pass over; a span of fewer always exists, so no text is lost.
-REACH = 64
+#: Spans cost nothing for their length from SHORT to LONG characters.
+SHORT, LONG = 8, 600
 #: Words rarer than this share of their kind get no learned score, which bounds the table to 1/RARE rows a kind and language.
 RARE, LEAST_SEEN = 1e-4, 4
 
@@ -203,6 +203,84 @@ def _local(line: str, c: _Cut, lang: str, closings: dict, openings: dict) -> flo
     return score + openings.get(_opening(line, c.next, lang), 0.0)
 
 
+class _Before:
+    """The best start of a span that ends at a given place, among all starts before it.
+
+    Starts come in order and so do the ends asked for.  Between SHORT and LONG the length
+    costs nothing, so a queue of falling values gives the best.  Beyond, the cost grows as
+    the logarithm: an older start that once beats a newer one does so ever after, and a
+    stack whose top is the best at present is enough.  Of equal starts the first is taken.
+    """
+
+    def __init__(self, starts: list[int], values: list[float]):
+        self.starts, self.values = starts, values
+        self.queue: deque[int] = deque()
+        self.stack: list[int] = []
+        self.entered = self.aged = 0
+        self.highest: list[float] = []
+
+    def _value(self, i: int, end: int) -> float:
+        return self.values[i] - _length(end - self.starts[i])
+
+    def _overtakes(self, i: int, k: int) -> float:
+        """From which end on the older start ``i`` beats ``k``."""
+        ratio = math.exp(min(0.0, self.values[k] - self.values[i]))
+        return (self.starts[k] - ratio * self.starts[i]) / (1.0 - ratio) if ratio < 1.0 else math.inf
+
+    def _push(self, k: int, end: int) -> None:
+        stack = self.stack
+        self._settle(end)
+        if stack and self._value(stack[-1], end) >= self._value(k, end):
+            return
+        while len(stack) > 1 and self._overtakes(stack[-2], stack[-1]) <= self._overtakes(stack[-1], k):
+            stack.pop()
+        if len(stack) == 1 and self._overtakes(stack[0], k) == math.inf:
+            stack.pop()
+        stack.append(k)
+
+    def _settle(self, end: int) -> None:
+        stack = self.stack
+        while len(stack) > 1 and self._value(stack[-2], end) >= self._value(stack[-1], end):
+            stack.pop()
+
+    def best(self, j: int, end: int, lone: int | None) -> tuple[float, int]:
+        """Value and number of the best of the starts up to ``j``; the one at ``lone`` counts 10 less."""
+        starts, values, queue = self.starts, self.values, self.queue
+        self.highest.append(max(values[j], self.highest[-1]) if j else values[0])
+        while self.entered <= j and end - starts[self.entered] >= SHORT:
+            while queue and values[queue[-1]] < values[self.entered]:
+                queue.pop()
+            queue.append(self.entered)
+            self.entered += 1
+        while self.aged <= j and end - starts[self.aged] > LONG:
+            self._push(self.aged, end)
+            self.aged += 1
+        while queue and queue[0] < self.aged:
+            queue.popleft()
+        if lone is not None:
+            return self._scan(j, end, lone)
+        found = []
+        self._settle(end)
+        if self.stack:
+            found.append((self._value(self.stack[-1], end), self.stack[-1]))
+        if queue:
+            found.append((self._value(queue[0], end), queue[0]))
+        found += [(self._value(i, end), i) for i in range(self.entered, j + 1)]
+        return max(found, key=lambda f: (f[0], -f[1]))
+
+    def _scan(self, j: int, end: int, lone: int) -> tuple[float, int]:
+        """The same by going back until no older start can be as good."""
+        top, arg = -math.inf, j
+        for i in range(j, -1, -1):
+            n = end - self.starts[i]
+            if n >= SHORT and self.highest[i] - _length(n) < top:
+                break
+            value = self._value(i, end) - 10.0 * (self.starts[i] == lone)
+            if value >= top:
+                top, arg = value, i
+        return top, arg
+
+
 def split_line(line: str, lang: str, closings: dict, openings: dict) -> list[tuple[int, int]]:
     """Best spans of one line (without outer blanks), as offsets into it."""
     cuts = _cuts(line, lang)
@@ -218,18 +296,14 @@ def split_line(line: str, lang: str, closings: dict, openings: dict) -> list[tup
         ends.append((c.end, c.next, score))
     ends.append((len(line), len(line), 0.0))
     starts = [0, *(e[1] for e in ends[:-1])]
+    quoted = {b: a for a, b in whole.items()}
     best, back = [0.0], [0]
+    before = _Before(starts, best)
     for j, (end, nxt, score) in enumerate(ends):
-        top, arg = -math.inf, j
-        for i in range(max(0, j + 1 - REACH), j + 1):
-            a = starts[i]
-            value = best[i] + score - _length(end - a)
-            # A quotation that is all of the span while text follows: its verb of saying comes next.
-            if nxt < len(line) and whole.get(a) == end and not line[nxt].isupper() and line[nxt] not in _OPEN_MARKS:
-                value -= 10.0
-            if value > top:
-                top, arg = value, i
-        best.append(top)
+        # A quotation that is all of the span while text follows: its verb of saying comes next.
+        lone = quoted.get(end) if nxt < len(line) and not line[nxt].isupper() and line[nxt] not in _OPEN_MARKS else None
+        top, arg = before.best(j, end, lone)
+        best.append(top + score)
         back.append(arg)
     spans, j = [], len(ends)
     while j:
@@ -242,7 +316,7 @@ def split_line(line: str, lang: str, closings: dict, openings: dict) -> list[tup
 @lru_cache(4096)
 def _length(n: int) -> float:
     """Cost of a span's length: very short and very long sentences are rare."""
-    return 2.0 * (n < 3) + 0.5 * (n < 8) + (math.log(n / 600) if n > 600 else 0.0)
+    return 2.0 * (n < 3) + 0.5 * (n < SHORT) + (math.log(n / LONG) if n > LONG else 0.0)
 
 
 def split_text(text: str | None, lang: str | None = None, model: dict | None = None) -> list[tuple[int, int]]:
