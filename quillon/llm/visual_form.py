@@ -12,7 +12,6 @@ final, so that the form of a form is itself.
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -43,6 +42,8 @@ LOOKALIKES = (
 # Invisible although no format character, and visible although one.
 INVISIBLE = "͏ᅟᅠ឴឵᠋᠌᠍᠎᠏ㅤ" + "".join(map(chr, range(0xFE00, 0xFE10)))
 VISIBLE_FORMATS = range(0x600, 0x606)
+# The blocks outside which no code point is a blank, a format character, half or full width or a look-alike.
+BLOCKS = (range(0xA0, 0x3400), range(0xA000, 0xAC00), range(0xF900, 0x20000), range(0xE0000, 0xE1000))
 
 
 def _image_of(ch: str, alike: dict[str, str]) -> str | None:
@@ -69,7 +70,7 @@ def mapping() -> dict[str, str]:
     for a, b in LOOKALIKES:
         if alike.setdefault(a, b) != b:
             raise ValueError(f"conflicting look-alikes of U+{ord(a):04X}")
-    found = {chr(c): image for c in range(0xA0, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and (image := _image_of(chr(c), alike)) is not None}
+    found = {chr(c): image for block in BLOCKS for c in block if (image := _image_of(chr(c), alike)) is not None}
     for ch, image in found.items():
         for _ in range(4):
             image = "".join(found.get(x, x) for x in unicodedata.normalize("NFD", image))
