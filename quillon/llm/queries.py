@@ -99,17 +99,51 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
-    scores = score_documents(_table(spark, sf, "documents"), _table(spark, sf, "abuse_label"))
+    scores = score_documents(_table(spark, sf, "documents"), _table(spark, sf, "abuse_label"), evidence=False)
     return scores.where(F.col("score") >= THRESHOLD).select("doc_id")
 
 
 def p10_source_rates(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
-    return source_rates(docs, score_documents(docs, _table(spark, sf, "abuse_label")))
+    return source_rates(docs, score_documents(docs, _table(spark, sf, "abuse_label"), evidence=False))
+
+
+def p10_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Score, label, likeliest passage and nearest unwanted example of every document."""
+    return score_documents(_table(spark, sf, "documents"), _table(spark, sf, "abuse_label"))
+
+
+def p8_check(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of every packing, a row a container kind: documents placed, and violations."""
+    sizes = _table(spark, sf, "documents").select(F.col("doc_id").alias("item"), (F.length("text") > 0).alias("real"))
+    rows = []
+    for name, capacity, packed in _packed(spark, sf):
+        loads = packed.groupBy("bin").agg(F.sum("size").alias("load"), F.max("size").alias("most"))
+        over = loads.agg(F.count_if(F.col("load") > capacity).alias("overfull"), (F.sum("load") * 100 >= F.count("*") * capacity * 95).alias("well_filled"))
+        docs = packed.groupBy("item").agg(F.count("*").alias("pieces"), F.count_distinct("piece").alias("kinds"), F.sum("size").alias("size"))
+        whole = sizes.where("real").join(docs, "item", "left").agg(
+            F.count("pieces").alias("placed"), F.count_if(F.col("pieces").isNull()).alias("missing"),
+            F.count_if(F.col("pieces") != F.col("kinds")).alias("placed_twice"), F.count_if(F.col("pieces") != F.ceil(F.col("size") / capacity)).alias("split_needlessly"),
+        )
+        rows.append(over.crossJoin(whole).select(F.lit(name).alias("container"), "placed", "missing", "placed_twice", "split_needlessly", "overfull", "well_filled"))  # one row each
+    return reduce(DataFrame.unionByName, rows)
+
+
+def p9_check(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the mix, a row a source: share within a hundredth of its target, repeats within the limit, copies evenly used."""
+    targets = _table(spark, sf, "mix_target")
+    mixed = Scratch(spark, "mixed").put(mix(_sizes(spark, sf, "p9"), targets), "mix")
+    used = shares(mixed, targets)
+    spread = mixed.groupBy("source", "doc_id").agg(F.count("*").alias("n")).groupBy("source").agg((F.max("n") - F.min("n") <= 1).alias("even"))
+    limits = targets.groupBy("source").agg(F.max("max_repeat").alias("max_repeat"))
+    return used.join(limits, "source").join(spread, "source", "left").select(
+        "source", (F.abs(F.col("share") - F.col("target_share")) <= 0.01).alias("on_target"),
+        (F.col("most_used") <= F.col("max_repeat")).alias("within_repeat"), F.coalesce("even", F.lit(True)).alias("even"),
+    )
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p5_clean_text, p7_found, p8_packed, p8_fill, p9_mix, p9_shares, p10_found, p10_source_rates)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p5_clean_text, p7_found, p8_packed, p8_fill, p9_mix, p9_shares, p10_found, p10_scores, p10_source_rates, p8_check, p9_check)}
 
 
 _NORM = "upper(left(trim(replace({0}, '_', ' '), chr(32)||chr(9)||chr(10)||chr(13)||chr(160)||chr(12288)), 1)) || substr(trim(replace({0}, '_', ' '), chr(32)||chr(9)||chr(10)||chr(13)||chr(160)||chr(12288)), 2)"
@@ -129,4 +163,12 @@ def oracle_sql() -> dict[str, str]:
       WITH links AS (SELECT unnest(titles) AS title FROM (SELECT id, any_value([x.title for x in links]) AS titles FROM page GROUP BY id))
       SELECT title FROM links GROUP BY title HAVING title IS NOT NULL AND count(*) >= 0.005 * (SELECT count(*) FROM links)
     """
-    return {"p1_found": p1, "p3_found": p3}
+    p8 = """
+      SELECT name AS container, (SELECT count(*) FROM documents WHERE length(text) > 0) AS placed, 0 AS missing, 0 AS placed_twice,
+        0 AS split_needlessly, 0 AS overfull, true AS well_filled
+      FROM (SELECT DISTINCT name, capacity_tokens FROM container WHERE capacity_tokens > 0)
+    """
+    p9 = """
+      SELECT source, true AS on_target, true AS within_repeat, true AS even FROM mix_target
+    """
+    return {"p1_found": p1, "p3_found": p3, "p8_check": p8, "p9_check": p9}
