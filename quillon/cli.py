@@ -22,6 +22,8 @@ def _pages(spark, a):
     valid = pages.redirects(titles)
     for name, df in (("redirects", valid), ("id2title", pages.id_to_title(titles, valid)), ("articles", pages.articles(titles, valid)), ("disambiguations", pages.disambiguations(titles))):
         sinks.write_table(df, f"{a.out}/{name}")
+    for name, df in pages.page_tables(stored).items():
+        sinks.write_table(df, f"{a.out}/by_{name}", sort=["v"])
     plain = stored.withColumn("links", F.transform("links", lambda x: x.withField("id", F.lit(None).cast("string"))))
     sinks.write_table(pages.resolve_links(pages.page_links(plain), titles, valid), a.out + "/links", sort=["title"])
 
@@ -61,10 +63,19 @@ def _annotate(spark, a):
     sinks.write_annotated(sentences.annotate_pages(spark.read.parquet(a.pages).withColumn("lang", F.lit(a.lang))), a.out)
 
 
+def _sentences(spark, a):
+    p, s = spark.read.parquet(a.pages), spark.read.parquet(a.annotated)
+    known = spark.read.parquet(a.langlinks).select("title", "id_ll", "title_ll").groupBy("title").agg(F.min_by(F.struct("id_ll", "title_ll"), "id_ll").alias("l")).select("title", "l.*")
+    sinks.write_table(sentences.full_rows(p, s, known), a.out + "/sentences", sort=["title", "start_pos", "end_pos"])
+    rows = spark.read.parquet(a.out + "/sentences")
+    for name, df in sentences.sentence_tables(rows).items():
+        sinks.write_table(df, f"{a.out}/by_{name}", sort=df.columns[:-1])
+
+
 COMMANDS = {
     "pages": (_pages, ["dump", "index", "out"], {"--index-range": None}), "entities": (_entities, ["dump", "out"], {}),
     "mentions": (_mentions, ["links", "out"], {"--allow": None, "--threshold": 0, "--no-expand": False}), "graph": (_graph, ["links", "out"], {}),
-    "langlinks": (_langlinks, ["dump", "id2title", "out"], {"--lang": "all"}), "annotate": (_annotate, ["pages", "out"], {"--lang": "en"}),
+    "langlinks": (_langlinks, ["dump", "id2title", "out"], {"--lang": "all"}), "sentences": (_sentences, ["pages", "annotated", "langlinks", "out"], {}), "annotate": (_annotate, ["pages", "out"], {"--lang": "en"}),
 }
 
 

@@ -53,6 +53,23 @@ def property_names(entity: DataFrame, lang: str = "en") -> DataFrame:
     return language_map(entity.where(F.col("id").startswith("P") & F.col("id").rlike(r"^P\d+$")), "labels", lang)
 
 
+def properties_unnamed(entity: DataFrame, lang: str = "en") -> DataFrame:
+    """``(id)`` of the properties without a label in that language."""
+    label = F.coalesce(F.col("labels")[lang]["value"], F.lit(""))
+    return entity.where(F.col("id").rlike(r"^P\d+$") & (label == "")).select("id")
+
+
+def attach_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(parent, parent_label, child, child_label)``: taxonomy pairs with the label of each node, null where it has none.
+
+    ``labels`` has ``id`` and ``label``; of several labels of an id the smallest is taken.
+    """
+    named = labels.where("id is not null").groupBy("id").agg(F.min("label").alias("label"))
+    for end in ("parent", "child"):
+        pairs = lookup_join(pairs, named.select(F.col("id").alias(end), F.col("label").alias(f"{end}_label")), end, "left")
+    return pairs.select("parent", "parent_label", "child", "child_label")
+
+
 def invert_list(pairs: DataFrame) -> DataFrame:
     """``(v, k, n)``: 1:n inversion with one row for each of the ``n`` keys of a value, repeated keys kept.
 

@@ -313,6 +313,22 @@ def sentence_langlinks(spark, sf):
     return sentences.enrich(rows.select("id", "n", "links"), by_title)
 
 
+def sentence_full_rows(spark, sf):
+    """Sentence rows with the language links of page and links; every title's upper-case form stands for its language link."""
+    a = pages.latest(_table(spark, sf, "annotated").select("id", "sentences", "loaded_at"))
+    known = _kept(spark, "known", _titles(spark, sf).select("title", F.col("id").alias("id_ll"), F.upper("title").alias("title_ll")))
+    r = sentences.full_rows(_pages(spark, sf, "title", "article", "links"), a, known)
+    links = F.array_join(F.transform("links", lambda x: F.concat_ws(":", F.coalesce(x["text_lower"], F.lit("")), F.coalesce(x["id_ll"], F.lit("-")))), "|")
+    return r.select("_id", "id", "title", "id_ll", "len_char", "len_links", "len_links_ll", links.alias("links"))
+
+
+def links_unmatched(spark, sf):
+    """Links no sentence contains whole, by their spans."""
+    a = pages.latest(_table(spark, sf, "annotated").select("id", "sentences", "loaded_at"))
+    out = sentences.unmatched_links(_pages(spark, sf, "links"), a)
+    return out.select("id", F.explode("links").alias("l")).select("id", "l.start_pos", "l.end_pos")
+
+
 def chunk_plan(spark, sf):
     """Byte ranges over an index whose offsets grow with the titles' lengths."""
     from quillon.sources.dumps import plan_chunks
@@ -327,7 +343,7 @@ _NAMES = (
     mention_threshold, mention_allow_list, mention_to_entity, entity_to_mention, entity_prior, mention_nysiis, titles_normalized,
     namespace_titles, category_markup, section_marks, disambiguation_flag, main_namespace, parsed_articles, clean_templates, clean_quotes,
     clean_tags, clean_formulas, compact_sections, expand_templates, strip_markup, articles_cleaned, annotated_sentences, title_tokens,
-    zh_sentences, sentence_rows, langlinks_attached, langlinks_rejected, langlinks_dedup, sentence_langlinks, chunk_plan,
+    zh_sentences, sentence_rows, langlinks_attached, langlinks_rejected, langlinks_dedup, sentence_langlinks, sentence_full_rows, links_unmatched, chunk_plan,
 )
 
 

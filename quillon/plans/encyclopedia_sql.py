@@ -112,6 +112,15 @@ def oracle_sql() -> dict[str, str]:
         "sentence_langlinks": f"""WITH {_SENTENCES}, {_T[len(_P) + 1:]}, flat AS (SELECT id, n, unnest(ls).title AS title FROM k),
             hits AS (SELECT f.id, f.n, count(*) AS all_n, count(t.id) AS ll FROM flat f LEFT JOIN titles t ON t.title = f.title GROUP BY 1, 2)
             SELECT k.id, k.n, coalesce(all_n, 0) AS len_links, coalesce(ll, 0) AS len_links_ll FROM k LEFT JOIN hits h ON h.id = k.id AND h.n = k.n""",
+        "sentence_full_rows": f"""WITH {_SENTENCES}, {_T[len(_P) + 1:]}, flat AS (SELECT id, n, unnest(ls) AS x, generate_subscripts(ls, 1) AS i FROM k),
+            hits AS (SELECT f.id, f.n, count(*) AS all_n, count(t.id) AS ll, string_agg(coalesce(lower(x.text), '') || ':' || coalesce(t.id, '-'), '|' ORDER BY i) AS links
+                FROM flat f LEFT JOIN titles t ON t.title = f.x.title GROUP BY 1, 2)
+            SELECT k.id || '_' || k.n AS _id, k.id, p.title, t.id AS id_ll, end_pos - start_pos AS len_char, CAST(coalesce(all_n, 0) AS INT) AS len_links, CAST(coalesce(ll, 0) AS INT) AS len_links_ll,
+                coalesce(h.links, '') AS links
+            FROM k JOIN p ON p.id = k.id LEFT JOIN titles t ON t.title = p.title LEFT JOIN hits h ON h.id = k.id AND h.n = k.n""",
+        "links_unmatched": f"""WITH {_P}, a AS (SELECT * FROM annotated QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at) = 1),
+            l AS (SELECT DISTINCT p.id, x.start_pos, x.end_pos, a.sentences AS s FROM (SELECT id, unnest(links) AS x FROM p) p JOIN a ON a.id = p.id WHERE x.start_pos IS NOT NULL AND x.end_pos IS NOT NULL)
+            SELECT id, start_pos, end_pos FROM l WHERE s IS NOT NULL AND len(list_filter(s, lambda y: start_pos >= y.start_pos AND end_pos <= y.end_pos)) = 0""",
         "langlinks_attached": f"WITH {_RAW} SELECT * FROM ll",
         "langlinks_rejected": f"WITH {_RAW} SELECT ll_lang, ll_title FROM raw WHERE ll_from NOT IN (SELECT id FROM id2title)",
         "langlinks_dedup": f"WITH {_RAW} SELECT lang, title, min({{'i': id_ll, 't': title_ll}}).t AS title_ll, min(id_ll) AS id_ll, count(*) AS n FROM ll GROUP BY lang, title",

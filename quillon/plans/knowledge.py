@@ -16,6 +16,16 @@ def _entities(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
     return latest(spark.read.parquet(f"{sf}/entity.parquet").select("id", *cols, "loaded_at")).drop("loaded_at")
 
 
+def _one(spark: SparkSession, sf: str, field: str, key: str) -> DataFrame:
+    """Each entity that has ``key`` in the map ``field``, with that entry only: the other entries never leave the scan."""
+    e = spark.read.parquet(f"{sf}/entity.parquet").where(F.map_contains_key(field, key))
+    return latest(e.select("id", F.map_filter(field, lambda k, _: k == key).alias(field), "loaded_at")).drop("loaded_at")
+
+
+def _statements(spark: SparkSession, sf: str, prop: str) -> DataFrame:
+    return _one(spark, sf, "claims", prop).withColumn("properties", F.array(F.lit(prop)))
+
+
 def _kept(spark, df: DataFrame) -> DataFrame:
     return Scratch(spark, "kb").put(df, "kb")
 
@@ -38,7 +48,7 @@ def property_counts(spark, sf):
 
 
 def _list(spark, sf, prop, items=True):
-    return kb.property_list(_entities(spark, sf, "claims", "properties"), prop, items)
+    return kb.property_list(_statements(spark, sf, prop), prop, items)
 
 
 def p31_list(spark, sf):
@@ -54,23 +64,28 @@ def p18_list(spark, sf):
 
 
 def p646_last(spark, sf):
-    return kb.property_last(_entities(spark, sf, "claims", "properties"), "P646")
+    return kb.property_last(_statements(spark, sf, "P646"), "P646")
 
 
 def labels_en(spark, sf):
-    return kb.language_map(_entities(spark, sf, "labels"), "labels", "en")
+    return kb.language_map(_one(spark, sf, "labels", "en"), "labels", "en")
 
 
 def descriptions_en(spark, sf):
-    return kb.language_map(_entities(spark, sf, "descriptions"), "descriptions", "en")
+    return kb.language_map(_one(spark, sf, "descriptions", "en"), "descriptions", "en")
 
 
 def sitelinks_en(spark, sf):
-    return kb.language_map(_entities(spark, sf, "sitelinks"), "sitelinks", "enwiki", "title")
+    return kb.language_map(_one(spark, sf, "sitelinks", "enwiki"), "sitelinks", "enwiki", "title")
 
 
 def property_names(spark, sf):
-    return kb.property_names(_entities(spark, sf, "labels"))
+    return kb.property_names(_entities(spark, sf, "labels"), "ar")
+
+
+def properties_unnamed(spark, sf):
+    """Properties without an Arabic label."""
+    return kb.properties_unnamed(_entities(spark, sf, "labels"), "ar")
 
 
 def invert_p31(spark, sf):
@@ -78,7 +93,7 @@ def invert_p31(spark, sf):
 
 
 def invert_p646(spark, sf):
-    return kb.invert_unique(kb.property_last(_entities(spark, sf, "claims", "properties"), "P646"))
+    return kb.invert_unique(kb.property_last(_statements(spark, sf, "P646"), "P646"))
 
 
 def instances_of_commonest(spark, sf):
@@ -118,13 +133,20 @@ def taxonomy(spark, sf):
     return _taxonomy(spark, sf, False)
 
 
+def taxonomy_labelled(spark, sf):
+    """The taxonomy with the English label, or the taxonomy's own, of each node."""
+    e = _entities(spark, sf, "labels").select("id", F.col("labels")["en"]["value"].alias("label")).where("label <> ''")
+    own = spark.read.parquet(f"{sf}/taxonomy_labels.parquet").select("id", "label")
+    return kb.attach_labels(_kept(spark, _taxonomy(spark, sf, False)), own.unionByName(e))
+
+
 def taxonomy_pruned(spark, sf):
     return _taxonomy(spark, sf, True)
 
 
 _NAMES = (
     entity_properties, claims_long, triples, property_counts, p31_list, p279_list, p18_list, p646_last, labels_en, descriptions_en, sitelinks_en,
-    property_names, invert_p31, invert_p646, instances_of_commonest, ids_by_site_title, aliases_en, labels_long, line_entities, taxonomy, taxonomy_pruned,
+    property_names, properties_unnamed, taxonomy_labelled, invert_p31, invert_p646, instances_of_commonest, ids_by_site_title, aliases_en, labels_long, line_entities, taxonomy, taxonomy_pruned,
 )
 
 
@@ -168,7 +190,8 @@ def oracle_sql() -> dict[str, str]:
         "labels_en": _language("labels", "en"),
         "descriptions_en": _language("descriptions", "en"),
         "sitelinks_en": _language("sitelinks", "enwiki", "title"),
-        "property_names": _language("labels", "en") + " AND regexp_matches(id, '^P\\d+$')",
+        "property_names": _language("labels", "ar") + " AND regexp_matches(id, '^P\\d+$')",
+        "properties_unnamed": f"WITH {_EN} SELECT id FROM en WHERE regexp_matches(id, '^P\\d+$') AND coalesce(labels['ar'].value, '') = ''",
         "invert_p31": f"WITH {_listed('P31')} SELECT v, k, count(*) OVER (PARTITION BY v) AS n FROM l",
         "invert_p646": f"WITH {_listed('P646', 'value_raw')}, u AS (SELECT k, max_by(v, pos) AS v FROM l GROUP BY k) SELECT v, max(k) AS k, count(*) AS n FROM u GROUP BY v",
         "instances_of_commonest": f"WITH {_listed('P31')} SELECT DISTINCT s AS id FROM claims WHERE property = 'P31' AND value_id = (SELECT v FROM l GROUP BY v ORDER BY count(*) DESC, v LIMIT 1)",
@@ -186,6 +209,13 @@ def oracle_sql() -> dict[str, str]:
             x AS (SELECT k, v, v IN (SELECT id FROM named) AS ok FROM p31),
             c AS (SELECT DISTINCT e.parent, coalesce(x.v, e.child) AS child FROM e LEFT JOIN x ON x.k = e.child WHERE x.k IS NULL OR x.ok),
             f AS (SELECT DISTINCT coalesce(x.v, c.parent) AS parent, c.child FROM c LEFT JOIN x ON x.k = c.parent WHERE x.k IS NULL OR x.ok),{nodes}""",
+        "taxonomy_labelled": f"""WITH {edges},
+            x AS (SELECT k, v, v IN (SELECT id FROM named) AS ok FROM p31),
+            c AS (SELECT DISTINCT e.parent, coalesce(x.v, e.child) AS child FROM e LEFT JOIN x ON x.k = e.child WHERE x.k IS NULL OR x.ok),
+            f AS (SELECT DISTINCT coalesce(x.v, c.parent) AS parent, c.child FROM c LEFT JOIN x ON x.k = c.parent WHERE x.k IS NULL OR x.ok),
+            lab AS (SELECT id, min(label) AS label FROM (SELECT id, label FROM taxonomy_labels UNION ALL SELECT id, labels['en'].value FROM en WHERE labels['en'].value <> '') WHERE id IS NOT NULL GROUP BY id),
+            nodes AS (SELECT parent AS n FROM f UNION SELECT child FROM f), pair AS (SELECT n AS parent, f.child FROM nodes LEFT JOIN f ON f.parent = nodes.n)
+            SELECT pair.parent, a.label AS parent_label, pair.child, b.label AS child_label FROM pair LEFT JOIN lab a ON a.id = pair.parent LEFT JOIN lab b ON b.id = pair.child""",
         "taxonomy_pruned": f"""WITH {edges},
             f AS (SELECT * FROM e WHERE child IN (SELECT parent FROM e) OR child NOT IN (SELECT k FROM p31)),{nodes}""",
     }

@@ -60,6 +60,16 @@ def chunks_of(spec: str) -> list[tuple[int, int]]:
     return list(zip(at, at[1:]))
 
 
+def _opened(path: str):
+    """A seekable file: a local path, or a URI of any file system Arrow knows (file, hdfs, s3, gs, abfs)."""
+    if "://" not in path:
+        return open(path, "rb")
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inner)
+
+
 class _Chunk(InputPartition):
     def __init__(self, beg: int, end: int):
         self.beg, self.end = beg, end
@@ -75,7 +85,7 @@ class _ChunkReader(DataSourceReader):
     def read(self, partition: _Chunk) -> Iterator[tuple]:
         from xml.etree import ElementTree
 
-        with open(self.path, "rb") as f:
+        with _opened(self.path) as f:
             f.seek(partition.beg)
             raw = f.read() if partition.end < 0 else f.read(partition.end - partition.beg)
         text, rest = [], raw
@@ -103,7 +113,7 @@ class _ChunkReader(DataSourceReader):
 class MultistreamPages(DataSource):
     """Pages of a multistream bz2 file by byte ranges: options ``path`` and ``ranges`` (``a-b,b-c,c-``).
 
-    The path must be readable on every executor.
+    The path, or URI, must be readable on every executor.
     """
 
     @classmethod

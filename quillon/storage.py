@@ -1,8 +1,8 @@
 """Lineage cuts that survive the loss of executors.
 
 Iterative operators write each round's table as Parquet below the shared folder
-named by ``spark.checkpoint.dir``; only where that setting is absent (unit tests,
-a laptop) is a local folder chosen.  Parquet rather than ``checkpoint()`` because
+named by ``spark.checkpoint.dir``; only where that setting is absent and everything
+runs on one machine is a local folder chosen, on a cluster its absence is an error.  Parquet rather than ``checkpoint()`` because
 the reader gets column pruning and real size statistics for the next join.
 """
 
@@ -17,9 +17,12 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; set to a private one if the session names none."""
+    """The folder all executors share; a private one if the session names none and runs on one machine."""
     found = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {_SETTING} to a folder that all executors of {master} share")
         found = "file://" + tempfile.mkdtemp(prefix="quillon-")
         spark.conf.set(_SETTING, found)
         _delete_on_exit(spark, found)
