@@ -37,7 +37,7 @@ def _mentions(where: str = _OK) -> str:
 
 
 def _titles_of(expr: str) -> str:
-    return f"WITH {_P} SELECT id, {expr} AS text FROM p WHERE regexp_matches(title, '^[A-Za-z ]+$')"
+    return f"WITH {_P} SELECT id, {expr} AS text FROM p WHERE title IS NOT NULL"
 
 
 def _norm(x: str) -> str:
@@ -89,14 +89,14 @@ def oracle_sql() -> dict[str, str]:
         "titles_normalized": f"""SELECT title, {_norm("(' _' || translate(lower(left(title, 1)) || substr(title, 2), ' ', '_') || '_ ')")} AS normal, translate(title || '_\\''x', '_\\', ' ') AS langlink,
             'http://wiki.example/?curid=' || length(title) AS url, upper(left(title, 1)) || substr(title, 2) AS upper, lower(left(title, 1)) || substr(title, 2) AS lower
             FROM (SELECT DISTINCT title FROM page WHERE title IS NOT NULL)""",
-        "namespace_titles": "SELECT title, 'Talk:' || upper(left(t, 1)) || substr(t, 2) AS \"full\" FROM (SELECT title, trim(regexp_replace(lower(title), '\\s+', ' ', 'g')) AS t FROM (SELECT DISTINCT title FROM page WHERE regexp_matches(title, '^[A-Za-z ]+$')))",
+        "namespace_titles": "SELECT title, 'Talk:' || upper(left(t, 1)) || substr(t, 2) AS \"full\" FROM (SELECT title, trim(regexp_replace(lower(title), '\\s+', ' ', 'g')) AS t FROM (SELECT DISTINCT title FROM page WHERE title IS NOT NULL))",
         "category_markup": f"WITH {_P} SELECT id, array_to_string([trim(c) for c in categories if length(c) > 0], '|') AS names FROM p WHERE len(categories) > 0",
         "section_marks": f"WITH {_P} SELECT id, '==A==|=== ' || title || ' ===' AS marks FROM p WHERE title IS NOT NULL",
         "disambiguation_flag": f"WITH {_P} SELECT id, length(title) % 4 <> 3 AND coalesce(redirect, '') = '' AS flag FROM p WHERE title IS NOT NULL",
         "main_namespace": f"WITH {_P} SELECT id FROM p WHERE length(title) % 3 = 0",
         "parsed_articles": f"""WITH {_P} SELECT id, title || ' is a thing of Site. ' || chr(10) || '==Part==' || chr(10) || 'Body bold & end.' AS article, '{{{{Infobox a|{{{{b}}}}}}}}' AS infobox, CAST(1 AS BIGINT) AS n_links,
             'thing' AS link_text, CAST(length(title) + 6 AS INT) AS link_start, {_norm('lower(title)')} AS link_title, 'http://x.example/a' AS url, CAST(length(title) + 15 AS INT) AS url_start,
-            'Part' AS section, CAST(2 AS INT) AS level, trim(title) AS categories, true AS fine FROM p WHERE regexp_matches(title, '^[A-Za-z ]+$')""",
+            'Part' AS section, CAST(2 AS INT) AS level, trim(title) AS categories, true AS fine FROM p WHERE title IS NOT NULL""",
         "clean_templates": _titles_of("'a ' || title || ' b }} c'"),
         "clean_quotes": _titles_of("title || ' and \"' || title || '\"'"),
         "clean_tags": _titles_of("'AB' || title || 'goneC' || chr(160) || 'D'"),
@@ -120,7 +120,7 @@ def oracle_sql() -> dict[str, str]:
             FROM k JOIN p ON p.id = k.id LEFT JOIN titles t ON t.title = p.title LEFT JOIN hits h ON h.id = k.id AND h.n = k.n""",
         "links_unmatched": f"""WITH {_P}, a AS (SELECT * FROM annotated QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at) = 1),
             l AS (SELECT DISTINCT p.id, x.start_pos, x.end_pos, a.sentences AS s FROM (SELECT id, unnest(links) AS x FROM p) p JOIN a ON a.id = p.id WHERE x.start_pos IS NOT NULL AND x.end_pos IS NOT NULL)
-            SELECT id, start_pos, end_pos FROM l WHERE s IS NOT NULL AND len(list_filter(s, lambda y: start_pos >= y.start_pos AND end_pos <= y.end_pos)) = 0""",
+            SELECT id, start_pos, end_pos FROM l WHERE s IS NULL OR len(list_filter(s, lambda y: start_pos >= y.start_pos AND end_pos <= y.end_pos)) = 0""",
         "langlinks_attached": f"WITH {_RAW} SELECT * FROM ll",
         "langlinks_rejected": f"WITH {_RAW} SELECT ll_lang, ll_title FROM raw WHERE ll_from NOT IN (SELECT id FROM id2title)",
         "langlinks_dedup": f"WITH {_RAW} SELECT lang, title, min({{'i': id_ll, 't': title_ll}}).t AS title_ll, min(id_ll) AS id_ll, count(*) AS n FROM ll GROUP BY lang, title",
