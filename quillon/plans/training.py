@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.operators.hierarchy import descendants, hierarchy, parent_statements
+from quillon.operators.hierarchy import descendant_counts, hierarchy, parent_statements
 from quillon.operators.nested import entity_paths, flat_tables, parse_entity_lines
 from quillon.storage import Scratch
 
@@ -35,8 +35,7 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p6_descendants(spark: SparkSession, sf: str) -> DataFrame:
     """How many entities lie below each class, and how far the lowest; only pairs within a loop are left out."""
-    paths = hierarchy(parent_statements(_table(spark, sf, "entity")), "child", "parent", with_paths=True, loop_paths=True)
-    return descendants(paths).groupBy("ancestor_id").agg(F.count("*").alias("n_below"), F.max("distance").alias("height"))
+    return descendant_counts(parent_statements(_table(spark, sf, "entity")), "child", "parent")
 
 
 def queries():
