@@ -102,6 +102,6 @@ def oracle_sql() -> dict[str, str]:
     """
     below = walk + """
       SELECT top AS ancestor_id, count(*) AS n_below, CAST(max(depth) AS INT) AS height
-      FROM up WHERE id NOT IN (SELECT id FROM up WHERE loop) GROUP BY top
+      FROM up WHERE NOT loop AND id NOT IN (SELECT id FROM up WHERE loop AND top = id) GROUP BY top
     """
     return {"p4_found": p4, "p4_statement_values": values, "p6_found": p6, "p6_descendants": below}
