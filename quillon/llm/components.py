@@ -50,9 +50,12 @@ def connected_groups(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         hook = tmp.put(both.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("p")), f"hook-{turn}")
         tree = _collapse(tmp, hook, turn)
         levels.append(tree)
-        half = lookup_join(edges, tree.select(F.col("c").alias("u"), F.col("p").alias("x")), "u").select("x", "v")
+        # Written, as the next join looks for hot keys in it first.
+        half = tmp.put(lookup_join(edges, tree.select(F.col("c").alias("u"), F.col("p").alias("x")), "u").select("x", "v"), f"half-{turn}")
         full = lookup_join(half, tree.select(F.col("c").alias("v"), F.col("p").alias("y")), "v").where("x <> y")
         edges = tmp.put(full.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct(), f"edges-{turn + 1}")
+        for name in (f"half-{turn}", f"edges-{turn}", f"hook-{turn}"):
+            tmp.drop(name)
     if not levels:
         return edges.select(F.col("u").alias("id"), F.col("v").alias("group_id"))
     root = levels.pop().select("c", "p")
