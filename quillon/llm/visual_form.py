@@ -1,13 +1,15 @@
 """One consistent form for texts that look the same.
 
 A precomputed mapping sends every code point of interest – full- and half-width
-forms, ligatures, odd blanks, invisible characters, look-alike letters – to its
-plain image.  It is compiled, together with the composition of accents, into a
-longest-match transducer over grapheme clusters: a single regular expression finds
-the clusters that hold anything but plain characters, the longest cluster at each
-place is replaced by its image, and images are kept for the next occurrence.  The
-mapping is checked when it is built: no code point gets two images, and images are
-final, so that the form of a form is itself.
+forms, ligatures, odd blanks, invisible characters, look-alike letters, letters with
+accents – to its plain parts, and a second one every pair that composes to the
+composed character.  Both are checked when they are built: no code point gets two
+images, and images are final, so that the form of a form is itself.  They are the
+tables of a transducer that reads a text once: it takes the longest run of base and
+marks (the grapheme clusters that hold anything but plain characters, found by one
+compiled expression), holds back the base and composes it on as far as pairs go, and
+writes the rest.  Nothing is normalised at run time; images of clusters are kept for
+their next occurrence.
 """
 
 from __future__ import annotations
@@ -80,6 +82,46 @@ def mapping() -> dict[str, str]:
     return found
 
 
+@cache
+def parts() -> dict[str, str]:
+    """Code point to the bases and marks it is read as, for all that are not read as themselves."""
+    image = mapping()
+    found = {}
+    for block in BLOCKS:
+        for c in block:
+            ch = chr(c)
+            plain = unicodedata.normalize("NFD", "".join(image.get(x, x) for x in unicodedata.normalize("NFD", ch)))
+            if plain != ch:
+                found[ch] = plain
+    return found
+
+
+@cache
+def pairs() -> dict[tuple[str, str], str]:
+    """Two characters to the one they compose to; syllables of jamo follow by arithmetic."""
+    found: dict[tuple[str, str], str] = {}
+    for block in BLOCKS:
+        for c in block:
+            split = unicodedata.decomposition(chr(c)).split()
+            if len(split) == 2 and split[0][0] != "<":
+                both = (chr(int(split[0], 16)), chr(int(split[1], 16)))
+                if unicodedata.normalize("NFC", "".join(both)) == chr(c) and found.setdefault(both, chr(c)) != chr(c):
+                    raise ValueError(f"conflicting compositions of {both}")
+    for lead in range(19):
+        for vowel in range(21):
+            found[chr(0x1100 + lead), chr(0x1161 + vowel)] = chr(0xAC00 + (lead * 21 + vowel) * 28)
+    for syllable in range(0xAC00, 0xD7A4, 28):
+        for final in range(1, 28):
+            found[chr(syllable), chr(0x11A7 + final)] = chr(syllable + final)
+    return found
+
+
+@cache
+def classes() -> dict[str, int]:
+    """Combining classes of the marks that have one: marks of different classes look alike in any order."""
+    return {chr(c): k for block in BLOCKS for c in block if (k := unicodedata.combining(chr(c)))}
+
+
 class Transducer:
     """Compiled longest-match rewriting of grapheme clusters; ``images`` keeps what was seen."""
 
@@ -87,17 +129,49 @@ class Transducer:
     KEPT = 200_000
 
     def __init__(self):
-        self.map = mapping()
-        gone = "".join(map(regex.escape, (c for c, image in self.map.items() if not image)))
-        # Marks, voicing marks of half-width kana and vowel and final jamo stay with their base.
-        joined = rf"[\p{{M}}ﾞﾟᅠ-ᇿힰ-퟿{gone}]".replace(r"퟿", r"ퟻ")
+        self.parts, self.pairs, self.classes = parts(), pairs(), classes()
+        gone = "".join(map(regex.escape, (c for c, image in mapping().items() if not image)))
+        # Marks, voicing marks of half-width kana and vowel and final jamo of either width stay with their base.
+        joined = rf"[\p{{M}}ﾞﾟ\u1160-\u11ff\ud7b0-\ud7fb\uffa0-\uffdc{gone}]"
         self.cluster = regex.compile(rf"[^\x00-\x7f]{joined}*|[\x00-\x7f]{joined}+")
         self.images: dict[str, str] = {}
 
     def image(self, cluster: str) -> str:
-        decomposed = unicodedata.normalize("NFD", cluster)
-        mapped = "".join(map(lambda c: self.map.get(c, c), decomposed))
-        return unicodedata.normalize("NFC", unicodedata.normalize("NFD", mapped))
+        """Reads the cluster once; ``base`` is held back while it composes, ``marks`` wait for the next base in order of class."""
+        out: list[str] = []
+        base, marks = "", []
+        for ch in cluster:
+            for x in self.parts.get(ch, ch):
+                k = self.classes.get(x, 0)
+                if k:
+                    at = len(marks)
+                    while at and marks[at - 1][0] > k:
+                        at -= 1
+                    marks.insert(at, (k, x))
+                    continue
+                if marks:
+                    base, marks = self._compose(base, marks)
+                both = self.pairs.get((base, x)) if not marks else None
+                if both is not None:
+                    base = both
+                else:
+                    out.append(base)
+                    out.extend(m for _, m in marks)
+                    base, marks = x, []
+        base, marks = self._compose(base, marks)
+        return "".join(out) + base + "".join(m for _, m in marks)
+
+    def _compose(self, base: str, marks: list[tuple[int, str]]) -> tuple[str, list[tuple[int, str]]]:
+        """The base with every mark that composes with it and is not kept from it by one of its own class."""
+        left, last = [], 0
+        for k, x in marks:
+            both = self.pairs.get((base, x)) if base and k != last else None
+            if both is not None:
+                base = both
+            else:
+                left.append((k, x))
+                last = k
+        return base, left
 
     def __call__(self, text: str) -> str:
         if text.isascii():
@@ -112,9 +186,7 @@ class Transducer:
                 found = images[cluster] = self.image(cluster)
             return found
 
-        out = self.cluster.sub(one, text)
-        # Images of neighbours may compose where their clusters meet (half-width jamo).
-        return out if unicodedata.is_normalized("NFC", out) else unicodedata.normalize("NFC", out)
+        return self.cluster.sub(one, text)
 
 
 @cache
@@ -147,11 +219,32 @@ def look_alikes(items: DataFrame, key: str, text: str) -> DataFrame:
     Texts are compared without outer blanks, which cannot be seen; texts that are
     empty after that are no case.
     """
+    kept = _mixed(items, key, text)
+    # A form carried by very many rows is paired in blocks: one side split by salt, the other sent to every part.
+    a = kept.withColumn("salt", F.pmod(F.xxhash64("key"), F.col("parts"))).select("form", "salt", F.col("key").alias("key_a"), F.col("text").alias("text_a"))
+    b = kept.select("form", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("salt"), F.col("key").alias("key_b"), F.col("text").alias("text_b"))
+    return a.join(b, ["form", "salt"]).where("key_a < key_b and text_a <> text_b").select("key_a", "key_b").distinct()
+
+
+#: Rows of one form and of one part of it that meet all others of the form in a task.
+PART_ROWS = 5000
+
+
+def _mixed(items: DataFrame, key: str, text: str) -> DataFrame:
+    """``(form, key, text, parts)`` of the forms that are written in two ways; no other can pair."""
     rows = items.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key is not null and text is not null").distinct()
     forms = rows.withColumn("form", F.trim(canonical_form("text"))).where("form <> ''")
-    # Only forms that are written in two ways can pair; all others go before the join.
-    mixed = forms.groupBy("form").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).where("lo <> hi").select("form")
-    kept = forms.join(mixed, "form", "left_semi")
-    a = kept.select("form", F.col("key").alias("key_a"), F.col("text").alias("text_a"))
-    b = kept.select("form", F.col("key").alias("key_b"), F.col("text").alias("text_b"))
-    return a.join(b, "form").where("key_a < key_b and text_a <> text_b").select("key_a", "key_b").distinct()
+    mixed = forms.groupBy("form").agg(F.min("text").alias("lo"), F.max("text").alias("hi"), F.ceil(F.count("*") / PART_ROWS).alias("parts"))
+    return forms.join(mixed.where("lo <> hi").select("form", "parts"), "form")
+
+
+def look_alike_classes(items: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, text, form, others)``: each row of a form that is written in two ways, with the number of its other rows of another text.
+
+    The linear counterpart of ``look_alikes`` for forms on very many keys: rows of one ``form``
+    are one class, and rows of a class pair if their texts differ.  Nulls, repeats and blanks as there.
+    """
+    kept = _mixed(items, key, text).drop("parts")
+    same = kept.groupBy("form", "text").agg(F.count("*").alias("same"))
+    whole = same.groupBy("form").agg(F.sum("same").alias("whole"))
+    return kept.join(same.join(whole, "form").select("form", "text", (F.col("whole") - F.col("same")).alias("others")), ["form", "text"]).select("key", "text", "form", "others")
