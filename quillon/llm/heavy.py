@@ -27,7 +27,7 @@ from quillon.storage import Scratch
 DATA, LENGTH = 8, 14
 #: Turns of spreading ambiguous groups anew before their rows are simply counted.
 TURNS = 6
-#: Most cells of a task's dense array (64 MB).
+#: Cells of a task's dense array (64 MB): as many groups as fit are counted in one reading of the rows.
 DENSE = 1 << 23
 
 
@@ -126,32 +126,32 @@ def _groups(x: np.ndarray, turn: int, n: int) -> np.ndarray:
         return (_mix(x, turn) % np.uint64(n)).astype(np.int64)
 
 
-def _sketch(turn: int, groups: int, before: list[tuple[int, np.ndarray]]):
-    """Counts per cell (group, position, symbol) of a task: one array of fixed size.
+def _within(x: np.ndarray, before: list[tuple[int, int, np.ndarray]]) -> np.ndarray:
+    """Which fingerprints fell into groups left open in every earlier turn: (turn, number of groups, open groups)."""
+    mask = np.ones(len(x), bool)
+    for turn, n, kept in before:
+        mask &= np.isin(_groups(x, turn, n), kept)
+    return mask
 
-    For shares so small that the array would pass DENSE cells, each batch is counted
-    on its own and the sums are left to the aggregation that follows.
-    """
-    dense = groups * LENGTH * 256 <= DENSE
 
-    def rows(at: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for k in range(0, len(at), 65536):
-            yield pa.RecordBatch.from_arrays([pa.array(at[k : k + 65536]), pa.array(n[k : k + 65536])], names=["cell", "n"])
+def _sketch(turn: int, groups: int, before: list[tuple[int, int, np.ndarray]], first: int, last: int):
+    """Counts per cell (group, position, symbol) of the groups from ``first`` to below ``last``: one array of fixed size a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(groups * LENGTH * 256 if dense else 0, np.int64)
+        cells = np.zeros((last - first) * LENGTH * 256, np.int64)
         for batch in batches:
             x = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for t, kept in before:
-                x = x[np.isin(_groups(x, t, groups), kept)]
-            first = (_groups(x, turn, groups)[:, None] * LENGTH + np.arange(LENGTH)) * 256
-            at, n = np.unique((first + encode(x)).ravel(), return_counts=True)
-            if dense:
-                cells[at] += n
-            else:
-                yield from rows(at, n.astype(np.int64))
+            x = x[_within(x, before)]
+            g = _groups(x, turn, groups)
+            mine = (g >= first) & (g < last)
+            x, g = x[mine], g[mine] - first
+            # Repeated values are encoded once.
+            x, at, n = np.unique(x, return_index=True, return_counts=True)
+            cell = ((g[at][:, None] * LENGTH + np.arange(LENGTH)) * 256 + encode(x)).ravel()
+            cells += np.bincount(cell, np.repeat(n, LENGTH), len(cells)).astype(np.int64)
         at = np.flatnonzero(cells)
-        yield from rows(at, cells[at])
+        for k in range(0, len(at), 65536):
+            yield pa.RecordBatch.from_arrays([pa.array(at[k : k + 65536] + first * LENGTH * 256), pa.array(cells[at[k : k + 65536]])], names=["cell", "n"])
 
     return run
 
@@ -175,12 +175,13 @@ def _candidates(heavy: list[tuple[int, int]], least: int) -> dict[int, set[int]]
     return found
 
 
-def heavy_hitters(items: DataFrame, value: str, share: float) -> DataFrame:
+def heavy_hitters(items: DataFrame, value: str, share: float, groups: int | None = None) -> DataFrame:
     """``(value, n, of)``: values that make up at least ``share`` of all rows, with exact counts.
 
     ``of`` is the number of rows, null values included; a null value is counted there
     but never reported.  Ties are all reported; an empty table gives an empty result;
-    other columns are ignored.  The rows are read three times when no group is ambiguous.
+    other columns are ignored.  The rows are read three times when no group is ambiguous
+    and ``groups`` (by default about a quarter of 1/share) fit in one array.
     """
     if not 0 < share <= 1:
         raise ValueError("share must be in (0, 1]")
@@ -190,12 +191,17 @@ def heavy_hitters(items: DataFrame, value: str, share: float) -> DataFrame:
     prints = rows.where("value is not null").select(F.xxhash64("value").alias("h"))
     total = rows.count()
     least = max(1, int(np.ceil(share * total - 1e-9)))
-    groups = max(16, 1 << int(np.ceil(np.log2(4 / share))))
+    # Light values spread over 256 symbols and cannot come near the threshold; heavy ones of a group are peeled apart.
+    groups = groups or max(16, 1 << int(np.ceil(np.log2(0.25 / share))))
+    # Few large tasks add up their arrays before anything is shuffled.
+    prints = prints.coalesce(2 * spark.sparkContext.defaultParallelism)
     done, before, exact = set(), [], None
     for turn in range(TURNS):
-        summed = prints.mapInArrow(_sketch(turn, groups, before), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-        # At most total/least cells a position are over the threshold: LENGTH/share rows.
-        heavy = [(r.cell, r.n) for r in summed.where(F.col("n") >= least).collect()]
+        heavy, step = [], max(1, DENSE // (LENGTH * 256))
+        for a in range(0, groups, step):
+            summed = prints.mapInArrow(_sketch(turn, groups, before, a, min(a + step, groups)), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+            # At most total/least cells a position are over the threshold: LENGTH/share rows.
+            heavy += [(r.cell, r.n) for r in summed.where(F.col("n") >= least).collect()]
         found = _candidates(heavy, least)
         done |= {v for values in found.values() for v in values}
         signed = [v - 2**64 if v >= 2**63 else v for v in done]
@@ -209,7 +215,9 @@ def heavy_hitters(items: DataFrame, value: str, share: float) -> DataFrame:
         open_groups = _unproved(heavy, found, sizes, least, turn, groups, before, done)
         if not open_groups:
             break
-        before = [*before, (turn, np.array(sorted(open_groups)))]
+        before = [*before, (turn, groups, np.array(sorted(open_groups)))]
+        # Only rows of open groups are left, spread over more.
+        groups *= 4
     else:
         # Still ambiguous after all turns: these few groups' values are counted plainly.
         keep = before
@@ -217,9 +225,7 @@ def heavy_hitters(items: DataFrame, value: str, share: float) -> DataFrame:
         def rest(batches):
             for batch in batches:
                 x = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
-                mask = np.ones(len(x), bool)
-                for t, kept in keep:
-                    mask &= np.isin(_groups(x, t, groups), kept)
+                mask = _within(x, keep)
                 yield pa.RecordBatch.from_arrays([batch.column("value").filter(pa.array(mask))], names=["value"])
 
         left = rows.where("value is not null").select("value", F.xxhash64("value").alias("h")).mapInArrow(rest, "value string")
@@ -234,8 +240,7 @@ def _unproved(heavy, found, sizes, least, turn, groups, before, done) -> set[int
         by.setdefault(cell // (LENGTH * 256), np.zeros((LENGTH, 256), np.int64))[cell // 256 % LENGTH, cell % 256] = n
     values = np.array(sorted(done), np.uint64)
     if len(values):
-        for t, kept in before:
-            values = values[np.isin(_groups(values, t, groups), kept)]
+        values = values[_within(values, before)]
         for v, g, word in zip(values.tolist(), _groups(values, turn, groups).tolist(), encode(values)):
             if g in by:
                 by[g][np.arange(LENGTH), word] -= sizes.get(v, 0)
