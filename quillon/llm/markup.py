@@ -45,7 +45,7 @@ _OPAQUE = regex.compile(
     | (?P<nowiki><(?P<nw>nowiki)\s*>.*?</(?P=nw)\s*>)
     | (?P<codetag><(?P<ct>{CODE_TAGS})\b[^>]*(?<!/)>(?:.*?</(?P=ct)\s*>|.*\Z))
     | (?P<codespan><(?P<cs>code|tt|kbd|samp)\b[^>]*>.*?</(?P=cs)\s*>)
-    | (?P<fence>^[ ]{{0,3}}(?P<fe>`{{3,}}|~{{3,}})[^`\n]*\n(?:.*?^[ ]{{0,3}}(?P=fe)[`~]*[ \t]*$|.*\Z))
+    | (?P<fence>^[ ]{{0,3}}(?P<fe>`{{3,}}+|~{{3,}}+)[^`\n]*\n(?:.*?^[ ]{{0,3}}(?P=fe)[`~]*[ \t]*$|.*\Z))
     | (?P<codeenv>\\begin\{{(?P<ce>{CODE_ENVIRONMENTS})\}}(?:.*?\\end\{{(?P=ce)\}}|.*\Z))
     | (?P<verb>\\(?:verb|lstinline)\*?(?P<vd>[|!+/"])[^\n]*?(?P=vd))
     | (?P<mathtag><math\b[^>]*(?<!/)>.*?</math\s*>)
@@ -61,6 +61,38 @@ _OPAQUE = regex.compile(
     """,
     regex.X | regex.S | regex.M | regex.I,
 )
+#: Where a span of ``_OPAQUE`` can begin, and what one that needs a closing mark begins with.
+_START = regex.compile(r"[<`~\\$%\ue000]|^[ ]", regex.M)
+_OPENER = regex.compile(r"<(!--|[a-z]+)|\\begin\{([a-z]+\*?)\}|\\([\[(])", regex.I)
+
+
+def _opaque(text: str) -> Iterator[regex.Match]:
+    """Matches of ``_OPAQUE`` in order, in time linear in the text: a span whose closing mark does not follow any more is never tried."""
+    lower, last = text.lower(), {}
+    if len(lower) != len(text):
+        lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    last[">"] = text.rfind(">")
+    pos = 0
+    while (start := _START.search(text, pos)) is not None:
+        at = start.start()
+        opener = _OPENER.match(lower, at)
+        if opener is not None:
+            tag, env, delim = opener.groups()
+            close = "-->" if tag == "!--" else f"</{tag}" if tag else f"\\end{{{env}}}" if env else {"[": "\\]", "(": "\\)"}[delim]
+            if close not in last:
+                last[close] = lower.rfind(close)
+            if tag not in (None, "!--") and last[">"] < at or last[close] <= at and tag not in _OPEN_ENDED and env not in _OPEN_ENDED:
+                pos = at + 1
+                continue
+        m = _OPAQUE.match(text, at)
+        if m is None:
+            pos = at + 1
+        else:
+            yield m
+            pos = m.end() if m.end() > at else at + 1
+
+
+_OPEN_ENDED = frozenset((*CODE_TAGS.split("|"), "verbatim", "verbatim*", "lstlisting", "minted", "alltt"))
 _BLOCK_TAG = regex.compile(r"<(/?)(li|h[1-6]|p|ul|ol|div|table|tr|td|th|blockquote|dl|dt|dd|br|hr|section|article|gallery|body|html)\b[^<>]*>", regex.I)
 _CONTAINERS = frozenset("li ul ol blockquote table td th dl dd dt h1 h2 h3 h4 h5 h6 gallery".split())
 _INLINE = regex.compile(
@@ -139,7 +171,7 @@ def scan(text: str) -> tuple[list[Block], bool, str, list[Piece]]:
     marked = False
     nested = _NESTED_HTML.search(text) is not None
     pieces, last = [], 0
-    for m in _OPAQUE.finditer(text):
+    for m in _opaque(text):
         kind, body = m.lastgroup, m.group()
         # lastgroup is the innermost named group that closed last: the outer ones are looked up.
         kind = next(k for k in _KINDS if m.group(k) is not None)
