@@ -102,12 +102,12 @@ def side_tables(pages: DataFrame) -> dict[str, DataFrame]:
 def page_tables(pages: DataFrame, source: str = "all") -> dict[str, DataFrame]:
     """Covering tables in place of the indexes of pages: ``(v, id)`` by each key, ``links_title`` with both titles.
 
-    Write each clustered and sorted by ``v``; null keys give no row.
+    Write each clustered and sorted by ``v``; null keys give no row.  Links as parsed have no id yet, so no ``links_id``.
     """
     out = {k: pages.select(F.col(k).alias("v"), "id") for k in ("id", "title", "redirect", "disambiguation")}
     out["_chunk_id"] = pages.select(F.lit(source).alias("v"), "id")
     out["categories"] = pages.select(F.explode("categories").alias("v"), "id")
     sections, links = pages.select("id", F.explode("sections").alias("s")), pages.select("id", "title", F.explode("links").alias("l"))
     out |= {f"sections_{k}": sections.select(F.col(f"s.{k}").alias("v"), "id") for k in ("text", "title", "level")}
-    out |= {f"links_{k}": links.select(F.col(f"l.{k}").alias("v"), "id", "title") for k in ("id", "title", "text")}
+    out |= {f"links_{k}": links.select(F.col(f"l.{k}").alias("v"), "id", "title") for k in links.select("l.*").columns if k in ("id", "title", "text")}
     return {name: df.where("v is not null") for name, df in out.items()}
