@@ -6,7 +6,7 @@ counts the documents of each term.  A passage's neighbours are all passages of l
 documents with a TF-IDF cosine of at least ``RADIUS``, found exactly by an inverted index
 with block maxima: only the heaviest terms of a passage, without which no cosine can
 reach the radius, are looked up, and only blocks whose bound reaches it are computed.
-Distance-weighted votes of the ``NEAREST`` are mapped to a probability by a logistic
+Distance-weighted votes of the ``NEAREST``, where equally near ones share the last places, are mapped to a probability by a logistic
 curve fitted on the labelled documents, each scored without its own vote; the nearest unwanted example
 is the evidence.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,6 +37,8 @@ from quillon.storage import Scratch
 MAX_LABELLED = 8000
 #: Least cosine of a neighbour, neighbours that vote, exponent of the cosine in a vote, weight of a vote for nothing.
 RADIUS, NEAREST, SHARPNESS, NO_VOTE = 0.4, 12, 4, 0.5
+#: Cosines no further apart are equal: they differ by the order of their sums only.
+TIE = 1e-9
 #: What a passage of an unwanted document is believed to be before any example votes; below half of it the label is held wrong.
 UNSEEN = 0.5
 #: Fitted probability from which a document is a case.
@@ -483,23 +485,31 @@ class Examples:
                 self.keys.append(key)
             members[i][doc] = (g["share"], g["label"])
             used.append((doc, i))
-        self.used = sorted(set(used))
         sizes = np.array([len(k) for k in self.keys], np.int64)
         flat = np.array([x for k in self.keys for x in k], np.int64).reshape(-1, 2)
         self.vectors = self.weigh(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), flat[:, 0], flat[:, 1])
         self.number = np.array([len(m) for m in members], float)
-        self.members = [{doc: s for doc, (s, _) in m.items()} for m in members]
         self.labels = [next((x for x, _ in Counter(x for _, x in m.values()).most_common() if x != CLEAN), CLEAN) for m in members]
         self.evidence = [min((d for d, (s, _) in m.items() if s > 0), default=min(m)) for m in members]
-        self.share = np.array([sum(m.values()) for m in self.members]) / np.maximum(self.number, 1)
-        self.blame: list[dict[int, float]] = self.members
-        suspects = np.flatnonzero(self.share > 0)
-        found = BlockMaxIndex(self.vectors, len(ids)).near(self.vectors.take(suspects), RADIUS, NEAREST + 1)
-        for _ in range(2):
-            self._settle(suspects, found)
+        # Pairs of a document and an example it holds, in order; what the document is rated, and how far the example is to blame for it.
+        pairs = sorted(set(used))
+        self.rated = np.array([members[i][doc][0] for doc, i in pairs], float)
+        self.blame = self.rated
+        doc, self.row = np.array(pairs, np.int64).reshape(-1, 2).T
+        self.doc = np.unique(doc, return_inverse=True)[1]
+        self._share()
+        suspects = np.flatnonzero(self.rated > 0)
+        if len(suspects):
+            whole = BlockMaxIndex(self.vectors, len(ids))
+            found = list(self._neighbours(lambda v, k: whole.near(v, RADIUS, k), suspects, np.zeros(len(members), np.int64)))
+            for _ in range(2):
+                self._settle(suspects, found)
         self.split()
         self._calibrate()
-        del self.keys, self.members, self.blame, self.used
+        del self.keys, self.blame, self.rated, self.doc, self.row
+
+    def _share(self) -> None:
+        self.share = np.bincount(self.row, self.blame, len(self.number)) / np.maximum(self.number, 1)
 
     def weigh(self, starts: np.ndarray, ids: np.ndarray, counts: np.ndarray, unknown: np.ndarray | None = None) -> Vectors:
         """Unit TF-IDF vectors; ``unknown``: what unknown terms add to the squared norm of each row."""
@@ -516,74 +526,93 @@ class Examples:
         self.index_bad, self.index_good = (BlockMaxIndex(self.vectors.take(r), len(self.ids)) for r in (self.rows_bad, self.rows_good))
 
     @staticmethod
-    def _nearest(q: np.ndarray, sims: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Positions of the NEAREST of each query, nearest first."""
+    def _ties(q: np.ndarray, sims: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Order by query, nearest first, and where in it each run of equally near ones begins; cosines closer than ``TIE`` are equal."""
         order = np.lexsort((row, -sims, q))
-        first = np.searchsorted(q[order], q[order], side="left")
-        return order[np.arange(len(order)) - first < NEAREST]
-
-    def _sums(self, n: int, q: np.ndarray, row: np.ndarray, sims: np.ndarray, own: np.ndarray | None = None):
-        """Votes of the NEAREST of each query: weights, and weights of unwanted; ``own`` is left out."""
-        if own is not None:
-            other = own[q] != row
-            q, row, sims = q[other], row[other], sims[other]
-        at = self._nearest(q, sims, row)
-        q, row, sims = q[at], row[at], sims[at]
-        w = sims**SHARPNESS * (1 + np.log(self.number[row]))
-        return np.bincount(q, w, n), np.bincount(q, w * self.share[row], n)
-
-    def _settle(self, suspects: np.ndarray, found) -> None:
-        """Examples of unwanted documents vote on each other, each without its own vote."""
-        q, row, sims = found
-        weight, bad = self._sums(len(suspects), q, row, sims, suspects)
-        place = {int(i): k for k, i in enumerate(suspects)}
-        blame: list[dict[int, float]] = [{} for _ in self.members]
-        by_doc: dict[int, list[int]] = {}
-        belief: dict[tuple[int, int], float] = {}
-        for doc, i in self.used:
-            if self.members[i][doc] > 0:
-                by_doc.setdefault(doc, []).append(i)
-                belief[doc, i] = self._left_out(weight[place[i]], bad[place[i]], i, doc, UNSEEN)
-        for doc, mine in by_doc.items():
-            top = max(belief[doc, i] for i in mine)
-            for i in mine:
-                clean = sum(1 for s in self.members[i].values() if s == 0)
-                outvoted = self._left_out(weight[place[i]], bad[place[i]], i, doc) < 0.5
-                if not outvoted or UNSEEN / 2 <= belief[doc, i] == top and not clean:
-                    blame[i][doc] = self.members[i][doc]
-        self.blame = blame
-        self.share = np.array([sum(b.values()) for b in blame]) / np.maximum(self.number, 1)
-
-    def _left_out(self, weight: float, bad: float, i: int, doc: int, prior: float = 0.0) -> float:
-        """The vote for example i as if ``doc`` were unlabelled: other documents with the same passage are neighbours at distance zero."""
-        others = len(self.members[i]) - 1
-        if others:
-            w = 1 + float(np.log(others))
-            weight, bad = weight + w, bad + w * (sum(self.blame[i].values()) - self.blame[i].get(doc, 0.0)) / others
-        return (bad + prior * NO_VOTE) / (weight + NO_VOTE)
+        q, sims = q[order], sims[order]
+        new = np.ones(len(q), bool)
+        new[1:] = (q[1:] != q[:-1]) | (sims[:-1] - sims[1:] > TIE)
+        return order, np.flatnonzero(new)
+
+    @classmethod
+    def _nearest(cls, q: np.ndarray, sims: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the NEAREST of each query and the part of a vote each has: equally near ones share the last places."""
+        order, run = cls._ties(q, sims, row)
+        size = np.diff(np.append(run, len(order)))
+        before = run - np.searchsorted(q[order], q[order][run], side="left")
+        part = np.repeat(np.clip((NEAREST - before) / size, 0.0, 1.0), size)
+        return order[part > 0], part[part > 0]
+
+    def _neighbours(self, find: Callable[[Vectors, int], tuple], pairs: np.ndarray, kind: np.ndarray) -> Iterator[tuple]:
+        """The NEAREST of each pair's example as if the pair's document were unlabelled, in chunks: pair, neighbour, its weight,
+        the documents left that hold it, the document's own pair with it (-1 for none).
+
+        Passages of a document are no witnesses of each other, however many they are.  ``find`` gives at least the k nearest
+        of each of two kinds of examples; where too few of other documents are among them, more are asked for.
+        """
+        keys = self.doc * len(self.number) + self.row
+        for a in range(0, len(pairs), 4000):
+            todo, k = pairs[a : a + 4000], NEAREST + 1
+            while len(todo):
+                asked, place = np.unique(self.row[todo], return_inverse=True)
+                q, row, sims = find(self.vectors.take(asked), k)
+                order = np.argsort(q, kind="stable")
+                begin = np.searchsorted(q[order], np.arange(len(asked) + 1))
+                size = np.diff(begin)[place]
+                at, pair = order[_expand(begin[:-1][place], size)], np.repeat(np.arange(len(todo)), size)
+                row, sims = row[at], sims[at]
+                key = self.doc[todo][pair] * len(self.number) + row
+                own = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                own[keys[own] != key] = -1
+                left = self.number[row] - (own >= 0)
+                keep, cell = left > 0, 2 * pair + kind[row]
+                met, kept = (np.bincount(c, minlength=2 * len(todo)).reshape(-1, 2) for c in (cell, cell[keep]))
+                short = ((met >= k) & (kept < NEAREST)).any(axis=1)
+                keep &= ~short[pair]
+                pair, row, sims, left, own = (x[keep] for x in (pair, row, sims, left, own))
+                at, part = self._nearest(pair, sims, row)
+                pair, row, sims, left, own = (x[at] for x in (pair, row, sims, left, own))
+                yield todo[pair], row, part * sims**SHARPNESS * (1 + np.log(left)), left, own
+                todo, k = todo[short], 4 * k
+
+    def _votes(self, found: Iterable[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the neighbours of each pair, and weights of unwanted."""
+        weight, bad = np.zeros(len(self.row)), np.zeros(len(self.row))
+        total = np.bincount(self.row, self.blame, len(self.number))
+        for pair, row, w, left, own in found:
+            share = (total[row] - np.where(own >= 0, self.blame[own], 0.0)) / left
+            weight += np.bincount(pair, w, len(weight))
+            bad += np.bincount(pair, w * share, len(bad))
+        return weight, bad
+
+    def _settle(self, suspects: np.ndarray, found: list[tuple]) -> None:
+        """Examples of unwanted documents vote on each other, each without its own document's votes."""
+        weight, bad = (x[suspects] for x in self._votes(found))
+        belief = (bad + UNSEEN * NO_VOTE) / (weight + NO_VOTE)
+        top = np.zeros(self.doc.max() + 1)
+        np.maximum.at(top, self.doc[suspects], belief)
+        clean = np.bincount(self.row, self.rated == 0, len(self.number))[self.row[suspects]] > 0
+        likeliest = (belief >= UNSEEN / 2) & (belief >= top[self.doc[suspects]] - TIE) & ~clean
+        self.blame = np.zeros(len(self.row))
+        guilty = suspects[(bad / (weight + NO_VOTE) >= 0.5) | likeliest]
+        self.blame[guilty] = self.rated[guilty]
+        self._share()
 
     def _calibrate(self) -> None:
         """Logistic map from a document's highest vote, without its own, to the share of unwanted documents."""
-        n = len(self.number)
-        weight, bad = np.zeros(n), np.zeros(n)
-        found = self.near(self.vectors)
-        if len(found[0]):
-            weight, bad = self._sums(n, *found, np.arange(n))
-        best: dict[int, float] = {}
-        truth: dict[int, float] = {}
-        for doc, i in self.used:
-            best[doc] = max(best.get(doc, 0.0), self._left_out(weight[i], bad[i], i, doc))
-            truth[doc] = max(truth.get(doc, 0.0), self.members[i][doc])
-        votes = np.array([best[d] for d in best])
-        hits = np.array([truth[d] for d in best])
+        weight, bad = self._votes(self._neighbours(self.near, np.arange(len(self.row)), (self.share > 0).astype(np.int64)))
+        docs = int(self.doc.max()) + 1 if len(self.doc) else 0
+        votes, hits = np.zeros(docs), np.zeros(docs)
+        np.maximum.at(votes, self.doc, bad / (weight + NO_VOTE))
+        np.maximum.at(hits, self.doc, self.rated)
         self.slope, self.shift = logistic(votes, hits)
         self.held_out = (votes, hits)
 
-    def near(self, queries: Vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Neighbours of the queries that have an unwanted one: ``(query, example, cosine)``."""
-        q, row, sims = self.index_bad.near(queries, RADIUS, NEAREST + 1)
+    def near(self, queries: Vectors, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Neighbours of the queries that have an unwanted one, at least the k nearest of either kind: ``(query, example, cosine)``."""
+        q, row, sims = self.index_bad.near(queries, RADIUS, k)
         some = np.unique(q)
-        gq, grow, gsims = self.index_good.near(queries.take(some), RADIUS, NEAREST + 1)
+        gq, grow, gsims = self.index_good.near(queries.take(some), RADIUS, k)
         return np.concatenate([q, some[gq]]), np.concatenate([self.rows_bad[row], self.rows_good[grow]]), np.concatenate([sims, gsims])
 
     def score(self, queries: Vectors) -> tuple[np.ndarray, np.ndarray]:
@@ -598,12 +627,16 @@ class Examples:
 
     def _score(self, queries: Vectors) -> tuple[np.ndarray, np.ndarray]:
         q, row, sims = self.near(queries)
-        weight, bad = self._sums(len(queries), q, row, sims)
+        at, part = self._nearest(q, sims, row)
+        w = part * sims[at] ** SHARPNESS * (1 + np.log(self.number[row[at]]))
+        weight, bad = np.bincount(q[at], w, len(queries)), np.bincount(q[at], w * self.share[row[at]], len(queries))
         nearest = np.full(len(queries), -1, np.int64)
         hit = self.share[row] > 0
         q, row, sims = q[hit], row[hit], sims[hit]
-        order = np.lexsort((-row, sims, q))
-        nearest[q[order]] = row[order]
+        # The first of those equally near.
+        order, run = self._ties(q, sims, row)
+        best = np.minimum.reduceat(row[order], run) if len(run) else row
+        nearest[q[order][run][::-1]] = best[::-1]
         return bad / (weight + NO_VOTE), nearest
 
     def probability(self, votes: np.ndarray) -> np.ndarray:
