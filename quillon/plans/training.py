@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.operators.hierarchy import descendant_counts, hierarchy, parent_statements
+from quillon.operators.hierarchy import descendant_counts, descendants, hierarchy, parent_statements
 from quillon.operators.nested import entity_paths, flat_tables, parse_entity_lines
 from quillon.storage import Scratch
 
@@ -33,13 +33,23 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return hierarchy(parent_statements(_table(spark, sf, "entity")), "child", "parent")
 
 
+def p6_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Root, depth and path from the root down to each entity; below a loop the path runs once round it, on a loop it is null."""
+    return hierarchy(parent_statements(_table(spark, sf, "entity")), "child", "parent", with_paths=True, loop_paths=True)
+
+
+def p6_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The descendants of each class themselves, a row a pair; only pairs within a loop are left out."""
+    return descendants(p6_paths(spark, sf))
+
+
 def p6_descendants(spark: SparkSession, sf: str) -> DataFrame:
     """How many entities lie below each class, and how far the lowest; only pairs within a loop are left out."""
     return descendant_counts(parent_statements(_table(spark, sf, "entity")), "child", "parent")
 
 
 def queries():
-    return {f.__name__: f for f in (p4_found, p4_statement_values, p6_found, p6_descendants)}
+    return {f.__name__: f for f in (p4_found, p4_statement_values, p6_found, p6_paths, p6_pairs, p6_descendants)}
 
 
 _EDGES = """
@@ -100,8 +110,17 @@ def oracle_sql() -> dict[str, str]:
       SELECT id, CASE WHEN loop THEN 'cycle' ELSE top END AS root_id, CAST(CASE WHEN loop THEN -1 ELSE depth END AS INT) AS depth
       FROM up WHERE loop OR NOT EXISTS (SELECT 1 FROM edges e WHERE e.child = up.top)
     """
+    route = walk + """
+      SELECT id, CASE WHEN loop THEN 'cycle' ELSE top END AS root_id, CAST(CASE WHEN loop THEN -1 ELSE depth END AS INT) AS depth,
+        CASE WHEN NOT loop THEN list_reverse(list_append(seen, top)) WHEN top <> id THEN list_reverse(seen) END AS path
+      FROM up WHERE loop OR NOT EXISTS (SELECT 1 FROM edges e WHERE e.child = up.top)
+    """
+    pairs = walk + """
+      SELECT top AS ancestor_id, id, CAST(depth AS INT) AS distance
+      FROM up WHERE NOT loop AND id NOT IN (SELECT id FROM up WHERE loop AND top = id)
+    """
     below = walk + """
       SELECT top AS ancestor_id, count(*) AS n_below, CAST(max(depth) AS INT) AS height
       FROM up WHERE NOT loop AND id NOT IN (SELECT id FROM up WHERE loop AND top = id) GROUP BY top
     """
-    return {"p4_found": p4, "p4_statement_values": values, "p6_found": p6, "p6_descendants": below}
+    return {"p4_found": p4, "p4_statement_values": values, "p6_found": p6, "p6_paths": route, "p6_pairs": pairs, "p6_descendants": below}
